@@ -1,0 +1,37 @@
+"""Join helpers that keep broadcasts behind a size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import cut_lineage
+
+# A side bigger than this is never broadcast, whatever the caller claims.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Materialise a data-dependent lookup side and broadcast it only if it is small.
+
+    The side is checkpointed into the shared checkpoint folder (so the check
+    and the join read the same bytes, and executor loss does not recompute
+    it), counted, and hinted for broadcast only when ``count <= max_rows``.
+    Beyond the bound it is returned unhinted: the join then shuffles on its
+    keys and AQE's skew-join handling splits hot partitions.
+    """
+    materialised = cut_lineage(small)
+    if materialised.count() <= max_rows:
+        return F.broadcast(materialised)
+    return materialised
+
+
+def static_broadcast(dim: DataFrame) -> DataFrame:
+    """Broadcast a side whose size is fixed by construction (a calendar of months,
+    a handful of status codes, the 25 nations); callers state the bound."""
+    return F.broadcast(dim)
+
+
+def scalar(df: DataFrame):
+    """One-row, one-column aggregate as a scalar subquery column (no join, no collect)."""
+    return df.scalar()
