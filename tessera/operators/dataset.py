@@ -40,6 +40,8 @@ def _with_quantile_bucket(df: DataFrame, key: str, n: int, out: str) -> DataFram
     keyed = df.withColumn(x, F.col(key).cast("double"))
     probs = [i / n for i in range(1, n)]
     bounds = sorted({b for b in keyed.approxQuantile(x, probs, 1.0 / (4 * n)) if b == b})
+    if not bounds:  # no rows (e.g. every cut fell on a bucket edge) or a single key value
+        return df.withColumn(out, F.lit(0))
     splits = [-float("inf"), *bounds, float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol=x, outputCol=out, handleInvalid="keep")
     return bucketizer.transform(keyed).withColumn(out, F.col(out).cast("int")).drop(x)

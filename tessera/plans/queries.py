@@ -231,8 +231,8 @@ def split_distribution(spark, sf):
 
 def label_encode(spark, sf):
     p = panel(spark, sf)
-    parts = ds.temporal_split(p.select(*KEYS, *fr.ENCODED))
-    fit_on = ds.distinct_values([parts.where(F.col("split") == s) for s in ("train", "val", "test")], fr.ENCODED)
+    parts = ds.date_split(p.select(*KEYS, *fr.ENCODED), fr.SPLIT_DATE)
+    fit_on = ds.distinct_values([parts.where(F.col("split") == s) for s in ("train", "test")], fr.ENCODED)
     out = ds.label_encode(p.select(*KEYS, *fr.ENCODED), fr.ENCODED, fit_on=fit_on)
     return out.select(*KEYS, *[f"{c}_encoded" for c in fr.ENCODED])
 
