@@ -14,12 +14,12 @@ def _c(c) -> Column:
 
 def parse_month(c, lenient: bool = False) -> Column:
     """``'yyyy-MM'`` string -> first day of that month (date)."""
-    return F.try_to_date(_c(c), F.lit("yyyy-MM")) if lenient else F.to_date(_c(c), "yyyy-MM")
+    return F.try_to_date(_c(c), "yyyy-MM") if lenient else F.to_date(_c(c), "yyyy-MM")
 
 
 def parse_day(c, fmt: str = "dd/MM/yyyy", lenient: bool = True) -> Column:
     """``'dd/MM/yyyy'`` string -> date; unparsable -> NULL when lenient."""
-    return F.try_to_date(_c(c), F.lit(fmt)) if lenient else F.to_date(_c(c), fmt)
+    return F.try_to_date(_c(c), fmt) if lenient else F.to_date(_c(c), fmt)
 
 
 def month_key(c) -> Column:

@@ -54,7 +54,7 @@ def assemble_panel(establishments: DataFrame, companies: DataFrame, macro_silver
         F.concat("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias(ENTITY), "cnpj_basico",
         parse_month(PERIOD, lenient=True).alias(PERIOD),
         F.col("situacao_cadastral").try_cast("int").alias("situacao_cadastral"),
-        "cnae_fiscal_principal", "uf", F.try_to_date("data_inicio_atividade", F.lit("yyyyMMdd")).alias("_inicio"))
+        "cnae_fiscal_principal", "uf", F.try_to_date("data_inicio_atividade", "yyyyMMdd").alias("_inicio"))
     comp = companies.select("cnpj_basico", parse_month(PERIOD, lenient=True).alias(PERIOD), "natureza_juridica",
                             "porte_empresa",
                             F.regexp_replace("capital_social", ",", ".").try_cast("double").alias("capital_social"))
