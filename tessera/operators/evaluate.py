@@ -162,7 +162,9 @@ def feature_importance(spark, names: list[str], importances, families: dict[str,
     if families:
         fam = [(f, w) for f, words in families.items() for w in words]
         fdf = spark.createDataFrame(fam, "family string, word string")
-        matched = df.join(F.broadcast(fdf), F.lower("feature").contains(F.lower("word")))
+        # features x family words, both a few dozen rows; a feature counts once per family
+        matched = (df.join(F.broadcast(fdf), F.lower("feature").contains(F.lower("word")))
+                   .select("family", "feature", "importance").distinct())
         return matched.groupBy("family").agg(F.sum("importance").alias("importance"))
     ranked = df.orderBy(F.desc("importance"), "feature")
     return ranked.limit(top) if top else ranked
