@@ -103,8 +103,16 @@ def read_tax_regime(spark: SparkSession, base: str, sep: str = ";", encoding: st
 
 
 def land_csv(df: DataFrame, path: str, partition_by: str | None = "ano_mes", encoding: str = "ISO-8859-1",
-             header: bool = False) -> str:
-    """Write a frame in the landed-file dialect (``;``, quoted, chosen encoding)."""
+             header: bool = False, files_per_partition: int = 2, salt_key: str | None = None) -> str:
+    """Write a frame in the landed-file dialect (``;``, quoted, chosen encoding).
+
+    Rows are grouped by (partition value, salt) so each period lands as
+    ``files_per_partition`` files; the salt (a hash of ``salt_key`` or of the
+    whole row) keeps a hot period spread over several writer tasks.
+    """
+    if partition_by:
+        salt_src = F.col(salt_key) if salt_key else F.struct(*[F.col(c) for c in df.columns])
+        df = df.repartition(F.col(partition_by), F.pmod(F.hash(salt_src), F.lit(files_per_partition)))
     w = (df.write.mode("overwrite").option("sep", ";").option("header", str(header).lower())
          .option("encoding", encoding).option("quoteAll", "false").option("escape", '"'))
     if partition_by:

@@ -19,7 +19,7 @@ from ..sources.landed import REGISTRY
 
 
 def registry_stream(spark: SparkSession, source_dir: str, data_type: str, file_glob: str | None = None,
-                    encoding: str = "ISO-8859-1", max_files_per_trigger: int = 64) -> DataFrame:
+                    encoding: str = "ISO-8859-1", max_files_per_trigger: int = 512) -> DataFrame:
     """Streaming scan of landed registry files with the declared schema (same dialect as S1)."""
     schema, default_glob = REGISTRY[data_type]
     return (spark.readStream.schema(schema).format("csv")
