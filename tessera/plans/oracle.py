@@ -407,6 +407,28 @@ FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN 'n/a' ELSE json_extra
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
        event_type IN ('view', 'click', 'purchase', 'signup') AS tipo_valido
 FROM events"""
+    q["dedup_keep_first"] = """
+SELECT o_custkey, mes, o_orderkey, o_orderdate, o_totalprice FROM (
+  SELECT *, strftime(o_orderdate, '%Y-%m') AS mes,
+         row_number() OVER (PARTITION BY o_custkey, strftime(o_orderdate, '%Y-%m')
+                            ORDER BY o_orderdate, o_orderkey) AS rn
+  FROM orders) o WHERE rn = 1"""
+    q["scalar_functions"] = """
+SELECT o_orderkey, periodo,
+       CAST(strptime(periodo, '%Y-%m') AS DATE) AS mes_data,
+       CAST(strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS dia,
+       CAST(o_orderdate AS TIMESTAMP) AS momento,
+       make_date(year(o_orderdate), month(o_orderdate), 1) AS mes_partes,
+       CAST(year(o_orderdate) AS VARCHAR) || '-' || lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') AS rotulo,
+       CAST(o_orderkey AS VARCHAR) AS chave_texto,
+       CAST(o_orderkey AS VARCHAR) || ' → ' || periodo AS seta,
+       periodo AS periodo_do_caminho,
+       replace(periodo, '-', '_') AS periodo_sublinhado,
+       split_part(periodo, '-', 1) AS ano_texto,
+       'estabelecimentos/' || periodo || '/K3241.D' || CAST(o_orderkey AS VARCHAR) || '.ESTABELE' AS sem_prefixo,
+       'K3241.D' || CAST(o_orderkey AS VARCHAR) || '.ESTABELE' AS arquivo,
+       'K3241.D' || CAST(o_orderkey AS VARCHAR) AS radical
+FROM (SELECT *, strftime(o_orderdate, '%Y-%m') AS periodo FROM orders) o"""
     q["work_list"] = _work_list_ctes() + "\nSELECT * FROM work"
     q["pending_work"] = _work_list_ctes() + """
 SELECT * FROM work w WHERE NOT EXISTS (

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MODEL_FEATURES, STATUS_CODES, STATUS_LABELS, STATUS_LAGS
+from ..functions import dates, paths, text
 from ..functions.messages import validate_choice
 from ..functions.text import clean_list_string, lenient_double
 from ..operators import clean as cl
@@ -328,6 +329,37 @@ def json_props(spark, sf):
                       validate_choice(F.col("event_type"), ["view", "click", "purchase", "signup"]).alias("tipo_valido"))
 
 
+def dedup_keep_first(spark, sf):
+    """O3: the first order of each (customer, month) by (date, key)."""
+    o = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    o = o.withColumn("mes", F.date_format("o_orderdate", "yyyy-MM"))
+    return cl.dedup_keep_first(o, ["o_custkey", "mes"], ["o_orderdate", "o_orderkey"])
+
+
+def scalar_functions(spark, sf):
+    """Date parsing/formatting and path handling on order dates."""
+    o = table(spark, sf, "orders", "o_orderkey", "o_orderdate")
+    per = dates.month_key("o_orderdate")
+    path = F.concat(F.lit("landing/estabelecimentos/"), per, F.lit("/K3241.D"), F.col("o_orderkey").cast("string"),
+                    F.lit(".ESTABELE"))
+    return o.select(
+        "o_orderkey",
+        per.alias("periodo"),
+        dates.parse_month(per).alias("mes_data"),
+        dates.parse_day(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("dia"),
+        dates.parse_timestamp(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("momento"),
+        dates.month_from_parts(F.year("o_orderdate"), F.month("o_orderdate")).alias("mes_partes"),
+        dates.month_label_from_parts(F.year("o_orderdate"), F.month("o_orderdate")).alias("rotulo"),
+        text.as_string(F.col("o_orderkey")).alias("chave_texto"),
+        text.arrow_concat(F.col("o_orderkey"), per).alias("seta"),
+        paths.period_of_path(path).alias("periodo_do_caminho"),
+        text.dashes_to_underscores(per).alias("periodo_sublinhado"),
+        text.split_on(per, "-")[0].alias("ano_texto"),
+        text.strip_prefix(path, "landing/").alias("sem_prefixo"),
+        text.base_name(path).alias("arquivo"),
+        text.stem(path).alias("radical"))
+
+
 # --- manifests -----------------------------------------------------------------------------------
 
 def _order_years(spark, sf):
