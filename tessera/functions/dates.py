@@ -33,8 +33,8 @@ def month_start(c) -> Column:
 
 
 def parse_timestamp(c) -> Column:
-    """default-format date-time parse, NULL when unparsable."""
-    return F.try_to_timestamp(_c(c))
+    """default-format date-time parse to a wall-clock (zone-free) timestamp, NULL when unparsable."""
+    return F.try_to_timestamp(_c(c)).cast("timestamp_ntz")
 
 
 def calendar_parts(c) -> dict[str, Column]:

@@ -23,7 +23,7 @@ def period_of(ts_col: str, unit: str = "month"):
         return F.date_format(ts_col, "yyyy-MM")
     if unit == "day":
         return F.to_date(ts_col)
-    return F.date_trunc(unit, F.col(ts_col))
+    return F.date_trunc(unit, F.col(ts_col)).cast("timestamp_ntz")  # wall-clock, zone-free
 
 
 def series_means(long: DataFrame, series: str, ts: str, value: str, unit: str = "month",
