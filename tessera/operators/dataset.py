@@ -2,7 +2,7 @@
 
 Exact ordered split without a global window
 -------------------------------------------
-The reference numbers every row with ``row_number() OVER (ORDER BY ano_mes,
+A naive plan numbers every row with ``row_number() OVER (ORDER BY ano_mes,
 cnpj)`` - one task sorts the whole table.  Here the position of a row is
 assembled from counts instead:
 
@@ -72,11 +72,14 @@ def ordered_split(df: DataFrame, order: list[str], fractions=SPLIT_FRACTIONS,
              else _with_quantile_bucket(df, first, buckets, "_b1"))
 
     sizes = keyed.groupBy("_b1").agg(F.count(F.lit(1)).alias("_n1"))
-    run = Window.orderBy("_b1").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per level-1 bucket: months or ``buckets`` quantile buckets.
-    sizes = sizes.withColumn("_s1", F.coalesce(F.sum("_n1").over(run), F.lit(0)))
-    total = sizes.agg(F.sum("_n1")).scalar()
-    cuts = [F.floor(total * F.lit(float(f))) for f in fractions]
+    # Over the bucket-size table only (one row per month or quantile bucket):
+    # the running start of each bucket and the grand total, without a subquery.
+    tiny = Window.orderBy("_b1")
+    sizes = sizes.withColumns({
+        "_s1": F.coalesce(F.sum("_n1").over(tiny.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_n": F.sum("_n1").over(Window.partitionBy()),
+    })
+    cuts = [F.floor(F.col("_n") * F.lit(float(f))) for f in fractions]
 
     lo, hi = F.col("_s1") + 1, F.col("_s1") + F.col("_n1")
     # A bucket is whole when its first and last position fall in the same part.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CONFIDENCE_BANDS, HIGH_RISK_THRESHOLD
 from ..functions.scores import confidence_band, percent, ratio
+from ..session import cut_lineage
 
 
 def _c(c) -> Column:
@@ -20,12 +21,17 @@ def _c(c) -> Column:
 
 
 def confusion_counts(pred: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
-    """(y_true, y_pred, count) over the sorted label union, missing cells 0."""
-    labels = (pred.select(F.col(y_true).alias("l")).unionByName(pred.select(F.col(y_pred).alias("l")))
+    """(y_true, y_pred, count) over the sorted label union, missing cells 0.
+
+    The predictions are aggregated exactly once, into a classes x classes table
+    that is checkpointed; the label union, the grid and every metric derived
+    from the matrix (A24, A25) then read only that small table.
+    """
+    counts = cut_lineage(pred.groupBy(y_true, y_pred).agg(F.count(F.lit(1)).alias("count")))
+    labels = (counts.select(F.col(y_true).alias("l")).unionByName(counts.select(F.col(y_pred).alias("l")))
               .where(F.col("l").isNotNull()).distinct())
     all_labels = labels.agg(F.sort_array(F.collect_list("l"))).scalar()  # one entry per class
     grid = labels.select(F.col("l").alias(y_true), F.explode(all_labels).alias(y_pred))
-    counts = pred.groupBy(y_true, y_pred).agg(F.count(F.lit(1)).alias("count"))
     return (grid.join(F.broadcast(counts), [y_true, y_pred], "left")
             .withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint")))
 

@@ -2,7 +2,7 @@
 
 A long table ``(series, ts, value)`` is reduced to one mean per (period,
 series) with partial aggregation, then pivoted with an explicit series list
-- equivalent to the reference's chain of full outer joins on the period,
+- equivalent to a chain of full outer joins on the period,
 but one shuffle instead of N-1 joins.  Aggregating before the pivot also
 avoids the daily fan-out of the oldest script.
 """

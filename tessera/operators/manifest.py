@@ -1,6 +1,6 @@
 """Work lists, listings and link harvesting.
 
-The reference walks listing pages and builds year x quarter x type lists in
+Listing pages and year x quarter x type work lists are usually handled in
 Python loops on one machine; here each is a small distributed relation:
 ``sequence``/``explode`` generates the grid per row of a driving table, and
 "already done" is an anti-join.

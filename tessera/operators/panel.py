@@ -1,8 +1,7 @@
 """Panel assembly and as-of access.
 
 ``assemble_panel`` builds the (company, month) panel from curated bronze
-tables - the step the reference lists as future work and only implies
-through its column names: establishments joined to companies on
+tables - the step implied by the panel's column names: establishments joined to companies on
 (``cnpj_basico``, ``ano_mes``), macro indicators joined at month - 1, debts
 accumulated over earlier months.
 """

@@ -2,7 +2,7 @@
 
 Periods are written as partitions of one table, so "replace a period" is a
 dynamic partition overwrite (only the partitions present in the frame are
-replaced) instead of the reference's truncate-then-append sequence.
+replaced) instead of a truncate-then-append sequence.
 """
 
 from __future__ import annotations

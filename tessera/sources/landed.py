@@ -34,7 +34,7 @@ def read_registry(spark: SparkSession, base: str, data_type: str, periods: list[
     all columns STRING; ``ano_mes`` from the folder of each file.
 
     Short rows read as NULL-padded and extra fields are ignored (jagged rows are
-    accepted, as the reference's loader does); ``periods`` prunes by path.
+    accepted, as the source loader does); ``periods`` prunes by path.
     """
     schema, default_glob = REGISTRY[data_type]
     df = (spark.read.schema(schema)
@@ -54,7 +54,7 @@ def read_debts(spark: SparkSession, base: str, data_type: str, years: list[int]
                file_glob: str = "*.csv", encoding: str = "UTF-8") -> DataFrame:
     """Headered ``;`` CSV of one debt type across years and quarters, one brace
     glob (a missing year/quarter folder is simply not matched); year and quarter come
-    from the path, which the reference's tables lose."""
+    from the path (the folder layout is the only place they live)."""
     years_glob = "*" if not years else ("{" + ",".join(str(y) for y in years) + "}" if len(years) > 1
                                          else str(years[0]))
     path = f"{base.rstrip('/')}/{years_glob}/*trimestre/{data_type}"

@@ -1,7 +1,7 @@
 """Process each landed file exactly once.
 
-The reference keeps ``.extracted`` marker files next to each archive so a
-re-run skips finished work.  Structured Streaming's file source does this
+A marker-file scheme (an ``.extracted`` file next to each archive) lets a
+re-run skip finished work.  Structured Streaming's file source does this
 natively: the checkpoint records which files were committed, so re-running
 with ``trigger(availableNow=True)`` picks up only new files, and a crash
 between write and commit is retried without duplicates (the file sink is
