@@ -32,9 +32,12 @@ def split_features(df: DataFrame, features: list[str] = MODEL_FEATURES) -> tuple
 
 
 def _weighted(train: DataFrame, label: str, weight_col: str) -> DataFrame:
-    # One row per label class (a handful), broadcast.
-    w = class_weights(train, label, digits=12).select(label, F.col("weight").alias(weight_col))
-    return train.join(F.broadcast(w), label, "left")
+    """Balanced class weights as a literal map column: the weights table has one
+    row per label class (a handful), so it is read once and every later pass of
+    the fit uses the literal instead of re-aggregating the training rows."""
+    w = {r[label]: r["weight"] for r in class_weights(train, label, digits=12).collect()}
+    lookup = F.create_map(*[x for k, v in w.items() for x in (F.lit(k), F.lit(float(v)))])
+    return train.withColumn(weight_col, lookup[F.col(label)])
 
 
 def forest(num_trees: int = 200, max_depth: int = 15, min_leaf: int = 5, seed: int = 42, max_bins: int = 32,
@@ -54,14 +57,20 @@ def boosted(rounds: int = 200, max_depth: int = 6, rate: float = 0.1, sample: fl
 
 
 def fit(train: DataFrame, classifier=None, features: list[str] = MODEL_FEATURES, label: str = TARGET,
-        weighted: bool = True) -> PipelineModel:
+        weighted: bool = True, materialise: bool = True) -> PipelineModel:
     """M1/M2: indexers (categoricals and the label) + assembler + classifier, fitted on the executors.
 
     The label is indexed so class code 8 does not become 9 classes; categorical
     indexes keep unseen values as an extra index; ``maxBins`` is raised to the
     largest category count so nominal features are split correctly.
+
+    Fitting runs many passes (indexers, metadata, one job per tree level), so
+    the training rows are first written to a reliable checkpoint in the shared
+    folder (``materialise``; pass False when ``train`` already reads one): the
+    feature lineage is computed once and a lost executor does not recompute it.
     """
-    train = cut_lineage(train)
+    if materialise:
+        train = cut_lineage(train)
     cats, nums = split_features(train, features)
     cat_idx = StringIndexer(inputCols=cats, outputCols=[f"{c}_encoded" for c in cats], handleInvalid="keep",
                             stringOrderType="alphabetAsc") if cats else None
@@ -85,10 +94,6 @@ def fit(train: DataFrame, classifier=None, features: list[str] = MODEL_FEATURES,
         data = _weighted(data, label, "weight")
     elif isinstance(clf, RandomForestClassifier) and clf.isSet("weightCol"):
         clf.clear(clf.weightCol)
-    # Fitting runs many passes (indexers, metadata, tree levels): read the training
-    # rows from a reliable checkpoint in the shared folder instead of recomputing
-    # the feature lineage each time; it also survives executor loss mid-fit.
-    data = cut_lineage(data)
     return Pipeline(stages=stages).fit(data)
 
 

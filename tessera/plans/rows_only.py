@@ -138,7 +138,8 @@ def _small_forest():
 
 
 def _train_test(spark, sf):
-    split = cut_lineage(ds.temporal_split(_features(spark, sf)))
+    # The feature windows are computed once; the split's passes read the checkpoint.
+    split = ds.temporal_split(cut_lineage(_features(spark, sf)))
     return split.where(F.col("split") == "train"), split.where(F.col("split") != "train")
 
 
@@ -184,7 +185,7 @@ def failure_model(spark, sf):
     frame = frame.withColumn("vai_quebrar", F.col("vai_quebrar").cast("string"))
     feats = ["tempo_atividade_anos", "capital_social", "situacao_cadastral", "num_mudancas_anteriores",
              "meses_desde_ultima_mudanca", "taxa_mudanca_empresa", "mes", "uf", "cnae_fiscal_principal"]
-    split = ds.entity_order_split(frame)
+    split = ds.entity_order_split(cut_lineage(frame))
     model = md.fit(split.where(F.col("split") == "train"), _small_forest(), features=feats, label="vai_quebrar")
     return md.score(model, split.where(F.col("split") == "test"), label="vai_quebrar", keep=KEYS)
 
