@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..constants import MODEL_FEATURES
+from ..constants import DEBT_TYPES, MODEL_FEATURES
 from ..operators import dataset as ds
 from ..operators import evaluate as ev
 from ..operators import features as fe
@@ -83,6 +83,65 @@ def load_bronze_csv(spark, sf):
     return pn.assemble_panel(est, comp)
 
 
+def load_debts(spark, sf):
+    """Debt files of three types landed per year / quarter (from orders), read back
+    with one glob per type; year and quarter recovered from the path."""
+    o = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+              "o_orderpriority")
+    tipo = (F.when(F.col("o_orderstatus") == "F", F.lit("FGTS"))
+            .when(F.col("o_orderstatus") == "O", F.lit("Previdenciario")).otherwise(F.lit("Nao_Previdenciario")))
+    rows = o.select(
+        F.format_string("%08d/0001-%02d", F.col("o_custkey"), F.col("o_custkey") % 97).alias("cpf_cnpj"),
+        F.lit("PJ").alias("tipo_pessoa"), F.lit("PRINCIPAL").alias("tipo_devedor"),
+        F.concat(F.lit("DEVEDOR "), F.col("o_custkey").cast("string")).alias("nome_devedor"),
+        F.lit("SP").alias("uf_devedor"), F.lit("PGFN").alias("unidade_responsavel"),
+        F.col("o_orderkey").cast("string").alias("numero_inscricao"), F.lit("ATIVA").alias("tipo_situacao_inscricao"),
+        F.col("o_orderpriority").alias("situacao_inscricao"), F.lit("0000").alias("receita_principal"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("data_inscricao"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("SIM")).otherwise(F.lit("NAO")).alias("indicador_ajuizado"),
+        F.replace(F.format_string("%.2f", "o_totalprice"), F.lit("."), F.lit(",")).alias("valor_consolidado"),
+        F.year("o_orderdate").alias("ano"), F.concat(F.quarter("o_orderdate").cast("string"), F.lit("trimestre"))
+        .alias("trimestre"), tipo.alias("tipo"))
+    root = _scratch(spark, "debts")
+    landed.land_csv(rows, root, ["ano", "trimestre", "tipo"], encoding="UTF-8", header=True)
+    return sk.append_union([landed.read_debts(spark, root, t) for t in DEBT_TYPES])
+
+
+def load_panel_csv(spark, sf):
+    """The panel exported as a headered CSV with a leading index column, read back
+    with the declared panel schema (index dropped, absent columns NULL)."""
+    p = panel(spark, sf)
+    out = p.select(F.monotonically_increasing_id().alias("Unnamed: 0"),
+                   F.lpad(F.col("cnpj").cast("string"), 14, "0").alias("cnpj"),
+                   F.date_format("ano_mes", "yyyy-MM").alias("ano_mes"),
+                   *[c for c in p.columns if c not in ("cnpj", "ano_mes")])
+    path = _scratch(spark, "panel-csv")
+    out.write.mode("overwrite").option("header", "true").csv(path)
+    return landed.read_panel_csv(spark, path)
+
+
+def load_tax_regime(spark, sf):
+    """Yearly tax-regime declarations (one per customer and year of orders) landed in
+    one folder per regime and read back with the regime taken from the folder."""
+    o = table(spark, sf, "orders", "o_custkey", "o_orderdate")
+    c = table(spark, sf, "customer", "c_custkey", "c_mktsegment")
+    per_year = o.groupBy(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("ano")).agg(
+        F.count(F.lit(1)).cast("int").alias("quantidade_de_escrituracoes"))
+    regime = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("lucro_real"))
+              .when(F.col("c_mktsegment") == "FURNITURE", F.lit("lucro_arbitrado"))
+              .when(F.col("c_mktsegment") == "MACHINERY", F.lit("imunes_e_isentas"))
+              .otherwise(F.lit("lucro_presumido")))
+    rows = per_year.join(c, "c_custkey").select(
+        "ano", F.format_string("%02d.%03d.%03d/0001-%02d", (F.col("c_custkey") / 1000000).cast("int") % 100,
+                               (F.col("c_custkey") / 1000).cast("int") % 1000, F.col("c_custkey") % 1000,
+                               F.col("c_custkey") % 97).alias("cnpj"),
+        F.lit("0").alias("cnpj_da_scp"), F.upper(F.replace(regime, F.lit("_"), F.lit(" "))).alias("forma_de_tributacao"),
+        "quantidade_de_escrituracoes", regime.alias("regime"))
+    root = _scratch(spark, "regimes")
+    landed.land_csv(rows, root, "regime", header=True, files_per_partition=1)
+    return landed.read_tax_regime(spark, root)
+
+
 def load_period_overwrite(spark, sf):
     """K1-K4 + U3: full load, then a period re-loaded with dynamic partition overwrite and
     one appended from a union; the re-load leaves the table unchanged."""
@@ -228,6 +287,9 @@ def triggered_load(spark, sf):
 
 ROWS_ONLY = {
     "load_bronze_csv": load_bronze_csv,
+    "load_debts": load_debts,
+    "load_panel_csv": load_panel_csv,
+    "load_tax_regime": load_tax_regime,
     "load_period_overwrite": load_period_overwrite,
     "load_status": load_status,
     "json_series_load": json_series_load,

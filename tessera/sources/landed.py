@@ -50,22 +50,33 @@ def bad_registry_rows(df: DataFrame) -> F.Column:
     return ~F.coalesce(F.col("cnpj_basico").rlike(r"^\d{8}$"), F.lit(False))
 
 
+def _either(name: str, key: str | None) -> str:
+    """Glob matching a folder named ``name`` or ``<key>=<name>`` (Spark's partition layout)."""
+    return f"{{{name},{key}={name}}}" if key else name
+
+
 def read_debts(spark: SparkSession, base: str, data_type: str, years: list[int] | None = None,
                file_glob: str = "*.csv", encoding: str = "UTF-8") -> DataFrame:
-    """Headered ``;`` CSV of one debt type across years and quarters, one brace
-    glob (a missing year/quarter folder is simply not matched); year and quarter come
-    from the path (the folder layout is the only place they live)."""
-    years_glob = "*" if not years else ("{" + ",".join(str(y) for y in years) + "}" if len(years) > 1
-                                         else str(years[0]))
-    path = f"{base.rstrip('/')}/{years_glob}/*trimestre/{data_type}"
+    """Headered ``;`` CSV of one debt type across years and quarters.
+
+    One brace glob covers every year / quarter (a missing folder is simply not
+    matched; a list of paths would fail on it).  Year and quarter come from the
+    path, the only place they live.  Folders may be plain (``2024/1trimestre/FGTS``)
+    or ``key=value`` (``ano=2024/trimestre=1trimestre/tipo=FGTS``).
+    """
+    if years:
+        year_glob = "{" + ",".join(f"{y},ano={y}" for y in years) + "}"
+    else:
+        year_glob = "*"
+    path = f"{base.rstrip('/')}/{year_glob}/*trimestre/{_either(data_type, 'tipo')}"
     df = (spark.read.schema(schemas.DEBTS)
           .option("sep", ";").option("header", "true").option("enforceSchema", "true")
           .option("encoding", encoding).option("multiLine", "true").option("escape", '"')
           .option("mode", "PERMISSIVE").option("pathGlobFilter", file_glob).csv(path))
     p = file_path()
     return df.withColumns({
-        "ano": segment_after(p, r"/(\d{4})/\d+trimestre/").cast("int"),
-        "trimestre": segment_after(p, r"/(\d+)trimestre/").cast("int"),
+        "ano": segment_after(p, r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?\d+trimestre/").cast("int"),
+        "trimestre": segment_after(p, r"/(?:[^/=]+=)?(\d+)trimestre/").cast("int"),
         "tipo": F.lit(data_type),
     })
 
@@ -99,23 +110,25 @@ def read_tax_regime(spark: SparkSession, base: str, sep: str = ";", encoding: st
     """Headered tax-regime files, one folder per regime; regime from the folder name."""
     df = (spark.read.schema(schemas.TAX_REGIME).option("header", "true").option("sep", sep)
           .option("encoding", encoding).option("mode", "PERMISSIVE").csv(f"{base.rstrip('/')}/*"))
-    return df.withColumn("regime", segment_after(file_path(), r"/([^/]+)/[^/]+$"))
+    return df.withColumn("regime", segment_after(file_path(), r"/(?:[^/=]+=)?([^/]+)/[^/]+$"))
 
 
-def land_csv(df: DataFrame, path: str, partition_by: str | None = "ano_mes", encoding: str = "ISO-8859-1",
-             header: bool = False, files_per_partition: int = 2, salt_key: str | None = None) -> str:
+def land_csv(df: DataFrame, path: str, partition_by: str | list[str] | None = "ano_mes",
+             encoding: str = "ISO-8859-1", header: bool = False, files_per_partition: int = 2,
+             salt_key: str | None = None, sep: str = ";") -> str:
     """Write a frame in the landed-file dialect (``;``, quoted, chosen encoding).
 
     Rows are grouped by (partition value, salt) so each period lands as
     ``files_per_partition`` files; the salt (a hash of ``salt_key`` or of the
     whole row) keeps a hot period spread over several writer tasks.
     """
-    if partition_by:
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if parts:
         salt_src = F.col(salt_key) if salt_key else F.struct(*[F.col(c) for c in df.columns])
-        df = df.repartition(F.col(partition_by), F.pmod(F.hash(salt_src), F.lit(files_per_partition)))
-    w = (df.write.mode("overwrite").option("sep", ";").option("header", str(header).lower())
+        df = df.repartition(*[F.col(c) for c in parts], F.pmod(F.hash(salt_src), F.lit(files_per_partition)))
+    w = (df.write.mode("overwrite").option("sep", sep).option("header", str(header).lower())
          .option("encoding", encoding).option("quoteAll", "false").option("escape", '"'))
-    if partition_by:
-        w = w.partitionBy(partition_by)
+    if parts:
+        w = w.partitionBy(*parts)
     w.csv(path)
     return path
