@@ -94,7 +94,7 @@ def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.join(F.broadcast(monthly_macro(spark, sf_dir)), PERIOD, "left")
 
 
-_MATERIALISED: dict[tuple[int, str], str] = {}
+_MATERIALISED: dict[tuple[int, str], tuple[str, str]] = {}
 
 
 def panel(spark: SparkSession, sf_dir: str, materialise: bool = True, buckets: int | None = None) -> DataFrame:
@@ -107,13 +107,21 @@ def panel(spark: SparkSession, sf_dir: str, materialise: bool = True, buckets: i
     if not materialise:
         return build_panel(spark, sf_dir)
     key = (id(spark), sf_dir)
-    name = _MATERIALISED.get(key)
-    if name is None or not spark.catalog.tableExists(name):
-        name = f"tessera_panel_{uuid.uuid4().hex[:16]}"
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (build_panel(spark, sf_dir).write.mode("overwrite").format("parquet")
-         .bucketBy(n, ENTITY).sortBy(ENTITY, PERIOD)
-         .option("path", shared_path(spark, "tessera-panel", name))
-         .saveAsTable(name))
-        _MATERIALISED[key] = name
-    return spark.table(name)
+    kind, ref = _MATERIALISED.get(key, (None, None))
+    if kind == "path":
+        return spark.read.parquet(ref)
+    if kind == "table" and spark.catalog.tableExists(ref):
+        return spark.table(ref)
+    name = f"tessera_panel_{uuid.uuid4().hex[:16]}"
+    path = shared_path(spark, "tessera-panel", name)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    built = build_panel(spark, sf_dir)
+    try:
+        (built.write.mode("overwrite").format("parquet").bucketBy(n, ENTITY).sortBy(ENTITY, PERIOD)
+         .option("path", path).saveAsTable(name))
+        _MATERIALISED[key] = ("table", name)
+        return spark.table(name)
+    except Exception:  # noqa: BLE001 - no usable catalog: same data, plain Parquet (windows then shuffle)
+        built.write.mode("overwrite").parquet(path + "-plain")
+        _MATERIALISED[key] = ("path", path + "-plain")
+        return spark.read.parquet(path + "-plain")
