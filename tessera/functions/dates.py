@@ -33,8 +33,10 @@ def month_start(c) -> Column:
 
 
 def parse_timestamp(c) -> Column:
-    """default-format date-time parse to a wall-clock (zone-free) timestamp, NULL when unparsable."""
-    return F.try_to_timestamp(_c(c)).cast("timestamp_ntz")
+    """default-format date-time parse to a wall-clock (zone-free) timestamp, NULL when
+    unparsable.  Parsing goes straight to ``timestamp_ntz``: a detour through the session
+    time zone would shift local times that fall in a daylight-saving gap."""
+    return _c(c).try_cast("timestamp_ntz")
 
 
 def calendar_parts(c) -> dict[str, Column]:

@@ -347,7 +347,7 @@ def scalar_functions(spark, sf):
         per.alias("periodo"),
         dates.parse_month(per).alias("mes_data"),
         dates.parse_day(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("dia"),
-        dates.parse_timestamp(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("momento"),
+        dates.parse_timestamp(F.col("o_orderdate").cast("string")).alias("momento"),  # zone-free text
         dates.month_from_parts(F.year("o_orderdate"), F.month("o_orderdate")).alias("mes_partes"),
         dates.month_label_from_parts(F.year("o_orderdate"), F.month("o_orderdate")).alias("rotulo"),
         text.as_string(F.col("o_orderkey")).alias("chave_texto"),
