@@ -39,22 +39,40 @@ def _load(spark: SparkSession, landing: str, tables: str, period: str | None, da
     return rows
 
 
+def _done(spark: SparkSession, status_table: str, batch_id: int) -> dict[str, int | None]:
+    """Messages of this micro-batch that an earlier attempt already loaded (id -> rows)."""
+    try:
+        prior = spark.read.parquet(status_table).where((F.col("batch_id") == batch_id) & (F.col("status") == "ok"))
+        return {r.id: r.rows for r in prior.select("id", "rows").collect()}  # one micro-batch's messages
+    except Exception:  # noqa: BLE001 - no status table yet
+        return {}
+
+
 def handle_batch(landing: str, tables: str, status_table: str):
+    """Per micro-batch: run the requested loads and record one status row per message.
+
+    Retry-safe: a re-run of the same ``batch_id`` (after a failure) skips messages
+    whose load already succeeded, and the status rows are written with dynamic
+    partition overwrite on ``batch_id``, so a retry replaces instead of duplicating.
+    """
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        done = _done(spark, status_table, batch_id)
         out = []
         for m in batch.collect():  # control messages of one micro-batch
-            rows = None
+            rows = done.get(m.id)
             status = m.status
-            if status == "ok":
+            if status == "ok" and m.id not in done:
                 try:
                     rows = _load(spark, landing, tables, m.period, m.data_type, m.mode)
                 except Exception as e:  # noqa: BLE001 - the message fails, the stream goes on
                     status = f"error: {type(e).__name__}"
             out.append((m.id, m.period, m.data_type, m.mode, status, rows, batch_id))
         if out:
-            spark.createDataFrame(out, "id string, period string, data_type string, mode string, status string, "
-                                       "rows long, batch_id long").write.mode("append").parquet(status_table)
+            (spark.createDataFrame(out, "id string, period string, data_type string, mode string, status string, "
+                                        "rows long, batch_id long")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+             .parquet(status_table))
     return fn
 
 
