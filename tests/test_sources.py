@@ -193,3 +193,17 @@ def test_triggered_loads(spark, tmp_dir):
     got = {r.id: r for r in status.collect()}
     assert got["a"].status == "ok" and got["c"].status == "bad_data_type"
     assert spark.read.parquet(f"{tmp_dir}/tables/empresas").count() == 2   # period re-load replaced, not added
+
+
+def test_triggered_batch_retry_is_idempotent(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    for p in ("2024-01", "2024-02"):
+        _write(f"{landing}/empresas/{p}/x.csv", '"00012345";"ACME";"2062";"49";"1000,00";"01";""\n')
+    data = base64.b64encode(b'{"data_type":"empresas","mode":"WRITE_APPEND"}').decode()
+    batch = (spark.createDataFrame([("m1", data)], "id string, data string").withColumn("m", decode_message("data"))
+             .select("id", "m.*", message_status(F.col("m")).alias("status")))
+    handler = triggered.handle_batch(landing, f"{tmp_dir}/tables", f"{tmp_dir}/status")
+    handler(batch, 7)
+    handler(batch, 7)   # the same micro-batch retried after a failure
+    assert spark.read.parquet(f"{tmp_dir}/status").count() == 1
+    assert spark.read.parquet(f"{tmp_dir}/tables/empresas").count() == 2   # appended once, not twice
