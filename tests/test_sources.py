@@ -89,7 +89,8 @@ def test_debts_multi_year_with_missing_folder(spark, tmp_dir):
 
 
 def test_panel_csv_index_column_and_leading_zeros(spark, tmp_dir):
-    _write(f"{tmp_dir}/panel.csv", "Unnamed: 0,cnpj,ano_mes,situacao_cadastral,cnae_fiscal_principal,uf,capital_social\n"
+    _write(f"{tmp_dir}/panel.csv",
+           "Unnamed: 0,cnpj,ano_mes,situacao_cadastral,cnae_fiscal_principal,uf,capital_social\n"
            "0,00012345000191,2024-01,2,0111301,['SP'],10.5\n1,00012345000191,2024-02,,0111301,SP,nan\n")
     df = landed.read_panel_csv(spark, f"{tmp_dir}/panel.csv")
     rows = df.orderBy("ano_mes").collect()
@@ -102,7 +103,8 @@ def test_tax_regime_folders(spark, tmp_dir):
     head = "ano;cnpj;cnpj_da_scp;forma_de_tributacao;quantidade_de_escrituracoes\n"
     _write(f"{tmp_dir}/regimes/lucro_presumido/a.csv", head + "2023;11.111.111/0001-91;0;LUCRO PRESUMIDO;1\n")
     _write(f"{tmp_dir}/regimes/lucro_real/b.csv", head + "2023;11.111.111/0001-91;0;LUCRO REAL;2\n")
-    got = sorted((r.regime, r.quantidade_de_escrituracoes) for r in landed.read_tax_regime(spark, f"{tmp_dir}/regimes").collect())
+    rows = landed.read_tax_regime(spark, f"{tmp_dir}/regimes").collect()
+    got = sorted((r.regime, r.quantidade_de_escrituracoes) for r in rows)
     assert got == [("lucro_presumido", 1), ("lucro_real", 2)]
 
 

@@ -4,7 +4,6 @@ unseen categories, tie-breaks, empty bands, NULL-safe change detection."""
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
 
 from tessera.operators import clean, dataset, evaluate, features, panel, transitions
 
