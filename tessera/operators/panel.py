@@ -12,10 +12,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import months_between_starts, parse_month
+from .clean import clean_list_columns
 
 ENTITY, PERIOD = "cnpj", "ano_mes"
 
 
+def curate_panel(df: DataFrame, list_columns=("uf",), period: str = PERIOD) -> DataFrame:
+    """Loaded panel -> analysis panel: ``ano_mes`` 'yyyy-MM' -> date (F1, lenient) and
+    stringified lists such as ``"['SP']"`` cleaned once (F10), before any feature or
+    encoder sees them, so training and scoring agree on the categories."""
+    out = clean_list_columns(df, list(list_columns))
+    if dict(out.dtypes).get(period) == "string":
+        out = out.withColumn(period, parse_month(period, lenient=True))
+    return out
+
+
 def asof_latest(df: DataFrame, as_of: str, entity: str = ENTITY, period: str = PERIOD) -> DataFrame:
     """Each entity's latest row at or before ``as_of`` (whole row).
 

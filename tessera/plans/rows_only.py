@@ -114,10 +114,11 @@ def load_panel_csv(spark, sf):
     out = p.select(F.monotonically_increasing_id().alias("Unnamed: 0"),
                    F.lpad(F.col("cnpj").cast("string"), 14, "0").alias("cnpj"),
                    F.date_format("ano_mes", "yyyy-MM").alias("ano_mes"),
-                   *[c for c in p.columns if c not in ("cnpj", "ano_mes")])
+                   F.concat(F.lit("['"), "uf", F.lit("']")).alias("uf"),   # the stringified-list form
+                   *[c for c in p.columns if c not in ("cnpj", "ano_mes", "uf")])
     path = _scratch(spark, "panel-csv")
     out.write.mode("overwrite").option("header", "true").csv(path)
-    return landed.read_panel_csv(spark, path)
+    return pn.curate_panel(landed.read_panel_csv(spark, path))
 
 
 def load_tax_regime(spark, sf):

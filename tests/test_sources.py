@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from tessera.functions.messages import decode_message, message_status
-from tessera.operators import macro
+from tessera.operators import macro, panel
 from tessera.sinks import tables
 from tessera.sources import archives, landed, series
 from tessera.streaming import incremental, triggered
@@ -97,6 +97,8 @@ def test_panel_csv_index_column_and_leading_zeros(spark, tmp_dir):
     assert "Unnamed: 0" not in df.columns and len(df.columns) == 19
     assert rows[0].cnpj == "00012345000191" and rows[0].cnae_fiscal_principal == "0111301"
     assert rows[1].situacao_cadastral is None and rows[1].natureza_juridica is None
+    curated = panel.curate_panel(df).orderBy("ano_mes").collect()
+    assert [r.uf for r in curated] == ["SP", "SP"] and str(curated[0].ano_mes) == "2024-01-01"
 
 
 def test_tax_regime_folders(spark, tmp_dir):
