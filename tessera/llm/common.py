@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
         ends = np.cumsum(sizes)
         at = 0
         while at < batch.num_rows:
