@@ -30,7 +30,7 @@ from .common import chunks, cut
 
 CAPACITY, VOCABULARY, END_ID = 2048, "byte_bpe_50k", 0
 #: Pieces counted together; the number of buckets follows from the number of pieces.
-BUCKET_ROWS = 200_000
+BUCKET_ROWS = 20_000
 
 
 def encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:

@@ -112,7 +112,7 @@ def ring_keys(nodes: DataFrame, segments: int = SEGMENTS) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, segments: int = SEGMENTS) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``.
 
-    ``segments`` must exceed ``bits``; keys have 128 / segments bits, so fewer segments suit more documents.
+    ``segments`` must exceed ``bits``; a key holds two segments, 128 / segments bits.
     """
     if segments <= bits:
         raise ValueError("the ring needs more segments than differing bits")
@@ -129,8 +129,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, s
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each group.
 
-    A repeated id is one document; of its rows with equal text one stays.
+    A repeated row is the same document and stays as often as it came; a row without id stays.
     """
     found = near_duplicates(docs, shingle, bits)
-    gone = found.where("doc_id != component_id or doc_id is null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
