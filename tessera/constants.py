@@ -29,7 +29,6 @@ MACRO_SERIES = {
 ENTITY = "cnpj"
 PERIOD = "ano_mes"
 TARGET = "situacao_cadastral"
-PREV_TARGET = "situacao_cadastral_t_minus_1"
 
 MACRO_T1_COLUMNS = [
     "selic_meta_mensal_t_minus_1",
@@ -44,7 +43,6 @@ DEBT_COLUMNS = [
     "pgfn_prev_valor_acumulado_t_minus_1",
 ]
 DEBT_LAG_COLUMNS = DEBT_COLUMNS + ["pgfn_fgts_ajuizados_t_minus_1"]
-CATEGORICAL_COLUMNS = ["cnae_fiscal_principal", "uf", "natureza_juridica", "porte_empresa"]
 
 # --- Fixed values: feature-engineering parameters ------------------------------
 STATUS_LAGS = [1, 2, 3, 6, 12]
@@ -71,6 +69,41 @@ MODEL_FEATURES = [
     "posicao_relativa", "situacao_cadastral_mean_empresa", "situacao_cadastral_std_empresa",
 ]
 
+# Feature list of the status predictor, in order; debt lags and rolling sums follow it.
+PREDICTOR_FEATURES = [
+    "ano", "mes", "trimestre", "semestre", "mes_sin", "mes_cos", "meses_desde_inicio",
+    "cnae_fiscal_principal", "uf", "tempo_atividade_anos",
+    "pgfn_fgts_valor_acumulado_t_minus_1", "pgfn_naoprev_valor_acumulado_t_minus_1",
+    "pgfn_prev_valor_acumulado_t_minus_1", "pgfn_fgts_ajuizados_t_minus_1", "situacao_cadastral_t_minus_1",
+    "situacao_cadastral_lag_1", "situacao_cadastral_lag_2", "situacao_cadastral_lag_3", "situacao_cadastral_lag_6",
+    "situacao_cadastral_rolling_mean_3", "situacao_cadastral_rolling_mean_6", "situacao_cadastral_rolling_mean_12",
+    "situacao_cadastral_rolling_std_3", "situacao_cadastral_rolling_std_6",
+    "posicao_relativa", "situacao_cadastral_mean_empresa", "situacao_cadastral_std_empresa",
+]
+# Feature list of the failure model, in order.
+FAILURE_FEATURES = [
+    "ano", "mes", "trimestre", "semestre", "mes_sin", "mes_cos", "meses_desde_inicio",
+    "cnae_fiscal_principal", "uf", "situacao_cadastral", "situacao_cadastral_t_minus_1", "tempo_atividade_anos",
+    "pgfn_fgts_valor_acumulado_t_minus_1", "pgfn_naoprev_valor_acumulado_t_minus_1",
+    "pgfn_prev_valor_acumulado_t_minus_1", "pgfn_fgts_ajuizados_t_minus_1",
+    "situacao_cadastral_lag_1", "situacao_cadastral_lag_2", "situacao_cadastral_lag_3",
+    "situacao_cadastral_rolling_mean_3", "situacao_cadastral_rolling_mean_6", "situacao_cadastral_rolling_std_3",
+    "num_mudancas_anteriores", "meses_desde_ultima_mudanca", "taxa_mudanca_empresa",
+    "pgfn_fgts_valor_acumulado_t_minus_1_variacao", "pgfn_naoprev_valor_acumulado_t_minus_1_variacao",
+    "pgfn_prev_valor_acumulado_t_minus_1_variacao",
+]
+# Importance families: listed features, or (marked *) every feature with the word in its name; they overlap.
+FEATURE_FAMILIES = {
+    "Temporais": ["ano", "mes", "trimestre", "semestre", "mes_sin", "mes_cos", "meses_desde_inicio"],
+    "Categóricas": ["*_encoded"],
+    "Macroeconômicas": MACRO_T1_COLUMNS,
+    "PGFN": DEBT_LAG_COLUMNS,
+    "Lag": ["*lag"],
+    "Rolling": ["*rolling"],
+    "Empresa": ["tempo_atividade_anos", "capital_social", "situacao_cadastral_t_minus_1"],
+    "Agregadas": ["*empresa", "*posicao"],
+}
+
 # --- Fixed values: confidence bands (right-closed; 0 falls in no band) --------
 CONFIDENCE_BANDS = [
     (0.0, 0.5, "Baixa (0-50%)"),
@@ -86,5 +119,13 @@ ESTABLISHMENT_ZIP_PATTERN = r"(?i)^Estabelecimentos?\d+\.zip"
 COMPANY_ZIP_PATTERN = r"(?i)^Empresas?\d+\.zip"
 REGIME_KEYWORDS = ["lucro", "imunes", "isentas"]
 DEBT_TYPES = ["Nao_Previdenciario", "FGTS", "Previdenciario"]
+# Debt type of the files -> the word its panel columns use.
+DEBT_KINDS = {"FGTS": "fgts", "Nao_Previdenciario": "naoprev", "Previdenciario": "prev"}
+ALL_TYPES = "all"
+# Bad rows a load takes before it is rejected.
+BAD_ROW_BUDGET = {"registry": 10_000, "debts": 1_000}
+# Where a period stands in a path: the folder that holds the file, else anywhere.
+PERIOD_IN_FOLDER = r"(\d{4}-\d{2})/?$"
+PERIOD_ANYWHERE = r"(\d{4}-\d{2})"
 REGISTRY_DATA_TYPES = ["estabelecimentos", "empresas"]
 WRITE_MODES = ["WRITE_TRUNCATE", "WRITE_APPEND"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import REGISTRY_DATA_TYPES, WRITE_MODES
+from ..constants import ALL_TYPES, REGISTRY_DATA_TYPES, WRITE_MODES
 
 MESSAGE_SCHEMA = "period string, data_type string, mode string, write_mode string"
 
@@ -40,9 +40,11 @@ def validate_choice(c, allowed: list[str]) -> Column:
 
 
 def message_status(msg) -> Column:
-    """Status of a decoded message: ``ok`` / ``bad_message`` / ``bad_data_type`` / ``bad_mode``."""
+    """Status of a decoded message: ``ok`` / ``bad_message`` / ``bad_data_type`` / ``bad_mode``.
+
+    ``all`` (or no type) means every registry type."""
     m = _c(msg)
     return (F.when(~m["valid"], F.lit("bad_message"))
-            .when(~validate_choice(m["data_type"], REGISTRY_DATA_TYPES), F.lit("bad_data_type"))
+            .when(~validate_choice(m["data_type"], [*REGISTRY_DATA_TYPES, ALL_TYPES]), F.lit("bad_data_type"))
             .when(~validate_choice(m["mode"], WRITE_MODES), F.lit("bad_mode"))
             .otherwise(F.lit("ok")))

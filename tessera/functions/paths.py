@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PERIOD_IN_FOLDER = r"(\d{4}-\d{2})/?$"
-PERIOD_ANYWHERE = r"(\d{4}-\d{2})"
+from ..constants import PERIOD_ANYWHERE, PERIOD_IN_FOLDER
 
 
 def _c(c) -> Column:
@@ -42,5 +41,6 @@ def debt_path(year, quarter, data_type) -> Column:
 
 
 def debt_file_name(year, quarter, data_type) -> Column:
-    """archive name with a zero-padded quarter, e.g. ``Dados_abertos_FGTS_2024_T02.zip``."""
-    return F.format_string("Dados_abertos_%s_%04d_T%02d.zip", _c(data_type), _c(year), _c(quarter))
+    """archive of a debt type under its year and zero-padded quarter, e.g.
+    ``2024_trimestre_02/Dados_abertos_FGTS.zip``."""
+    return F.format_string("%04d_trimestre_%02d/Dados_abertos_%s.zip", _c(year), _c(quarter), _c(data_type))

@@ -6,11 +6,11 @@ A naive plan numbers every row with ``row_number() OVER (ORDER BY ano_mes,
 cnpj)`` - one task sorts the whole table.  Here the position of a row is
 assembled from counts instead:
 
-1. count rows per level-1 bucket (a period, or a quantile bucket of the
+1. count rows per level-1 bucket (a period, or a range of the
    entity key) - a tiny table - and take running totals over it;
 2. whole buckets that end before / start after a cut are labelled at once;
 3. only the (at most two) buckets holding a cut are refined: their rows get
-   quantile sub-buckets of the entity key (so a hot period is split across
+   range sub-buckets of the entity key (so a hot period is split across
    many tasks), counted again, and numbered with ``row_number`` inside a
    sub-bucket.  Bucket boundaries only affect balance, never the result:
    buckets are monotone in the sort order, so positions are exact.
@@ -18,33 +18,54 @@ assembled from counts instead:
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import SPLIT_FRACTIONS
 from ..functions.scores import percent
-from .joins import bounded_broadcast
 
 ENTITY, PERIOD, TARGET = "cnpj", "ano_mes", "situacao_cadastral"
 
 
-def _with_quantile_bucket(df: DataFrame, key: str, n: int, out: str) -> DataFrame:
-    """Add ``out``: a bucket id in [0, n) that is non-decreasing in ``key`` (numeric keys).
+def _range_bounds(df: DataFrame, key: str, n: int, per_bucket: int = 20, seed: int = 7) -> list:
+    """About ``n - 1`` values that cut the sorted ``key`` into parts of like size.
 
-    Split points come from ``approxQuantile`` (n - 1 numbers reach the driver);
-    ``Bucketizer`` then assigns buckets by binary search on the executors.
-    Equal keys always share a bucket, so ordering inside buckets stays exact.
+    They come from a random sample of about ``per_bucket * n`` rows, so the driver
+    holds a short list whatever the key's type or the table's size.
     """
-    x = f"{out}_x"
-    keyed = df.withColumn(x, F.col(key).cast("double"))
-    probs = [i / n for i in range(1, n)]
-    bounds = sorted({b for b in keyed.approxQuantile(x, probs, 1.0 / (4 * n)) if b == b})
-    if not bounds:  # no rows (e.g. every cut fell on a bucket edge) or a single key value
-        return df.withColumn(out, F.lit(0))
-    splits = [-float("inf"), *bounds, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol=x, outputCol=out, handleInvalid="keep")
-    return bucketizer.transform(keyed).withColumn(out, F.col(out).cast("int")).drop(x)
+    keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
+    rows = keys.count()
+    if not rows:
+        return []
+    sample = keys.sample(False, min(1.0, per_bucket * n / rows), seed).limit(2 * per_bucket * n)
+    ranked = sample.select("k", F.ntile(n).over(Window.orderBy("k")).alias("t"))  # of the sample only
+    return [r["k"] for r in ranked.groupBy("t").agg(F.min("k").alias("k")).where("t > 1").select("k").distinct()
+            .orderBy("k").collect()]
+
+
+def _with_range_bucket(df: DataFrame, key: str, n: int, out: str) -> DataFrame:
+    """Add ``out``: a bucket id that is non-decreasing in ``key``, of any ordered type.
+
+    NULL keys sort first and get bucket 0.  The bucket is the number of bounds at or
+    below the key, found in two steps of about sqrt(n) comparisons each.  Bounds only
+    affect balance; equal keys always share a bucket, so ordering stays exact.
+    """
+    bounds = _range_bounds(df, key, n)
+    if not bounds:
+        return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.lit(1)))
+    kind = df.schema[key].dataType
+    width = max(1, int(len(bounds) ** 0.5))
+    groups = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+
+    def literal(values):
+        return F.array(*[F.lit(v).cast(kind) for v in values])
+
+    heads, rows = literal([g[0] for g in groups]), F.array(*[literal(g) for g in groups])
+    k = F.col(key)
+    whole = F.size(F.filter(heads, lambda b: b <= k))  # groups that begin at or below the key
+    inner = F.size(F.filter(F.element_at(rows, F.greatest(whole, F.lit(1))), lambda b: b <= k))
+    bucket = F.when(whole == 0, F.lit(1)).otherwise((whole - 1) * F.lit(width) + inner + 1)
+    return df.withColumn(out, F.when(k.isNull(), F.lit(0)).otherwise(bucket))
 
 
 def _label(idx: Column, cuts: list[Column], names: list[str]) -> Column:
@@ -57,24 +78,24 @@ def _label(idx: Column, cuts: list[Column], names: list[str]) -> Column:
 def ordered_split(df: DataFrame, order: list[str], fractions=SPLIT_FRACTIONS,
                   names=("train", "val", "test"), level1: str = "value", buckets: int = 256,
                   sub_buckets: int = 256, split_col: str = "split", sub_key: str = ENTITY) -> DataFrame:
-    """Label rows by their exact position in ``order``.
+    """Label rows by their exact position in ``order`` (ascending, NULLs first).
 
     A row at 1-based position ``i`` of ``n`` goes to ``names[j]`` for the first
     ``j`` with ``i <= int(fractions[j] * n)``, else to the last name.
     ``level1='value'`` groups by the first order column itself (few distinct
-    values, e.g. months); ``level1='quantile'`` buckets it by quantiles.
-    Rows of buckets that hold a cut are sub-bucketed by quantiles of the
-    numeric ``sub_key`` (the entity), which must be non-decreasing in ``order``
-    within a level-1 bucket.
+    values, e.g. months); ``level1='range'`` cuts it into ranges.
+    Rows of buckets that hold a cut are sub-bucketed by ranges of ``sub_key``
+    (the entity, of any type), which must be non-decreasing in ``order``
+    within a level-1 bucket.  Rows with NULL order columns are labelled like any other.
     """
     first = order[0]
     keyed = (df.withColumn("_b1", F.col(first)) if level1 == "value"
-             else _with_quantile_bucket(df, first, buckets, "_b1"))
+             else _with_range_bucket(df, first, buckets, "_b1"))
 
-    sizes = keyed.groupBy("_b1").agg(F.count(F.lit(1)).alias("_n1"))
-    # Over the bucket-size table only (one row per month or quantile bucket):
+    sizes = keyed.groupBy(F.col("_b1").alias("_k1")).agg(F.count(F.lit(1)).alias("_n1"))
+    # Over the bucket-size table only (one row per month or range):
     # the running start of each bucket and the grand total, without a subquery.
-    tiny = Window.orderBy("_b1")
+    tiny = Window.orderBy("_k1")
     sizes = sizes.withColumns({
         "_s1": F.coalesce(F.sum("_n1").over(tiny.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "_n": F.sum("_n1").over(Window.partitionBy()),
@@ -86,17 +107,17 @@ def ordered_split(df: DataFrame, order: list[str], fractions=SPLIT_FRACTIONS,
     whole_label = F.when(_label(lo, cuts, list(names)) == _label(hi, cuts, list(names)),
                          _label(lo, cuts, list(names)))
     sizes = sizes.withColumn("_whole", whole_label)
-    keyed = keyed.join(F.broadcast(sizes), "_b1")
+    keyed = keyed.join(sizes, F.col("_b1").eqNullSafe(F.col("_k1")))
 
     settled = keyed.where(F.col("_whole").isNotNull()).withColumn(split_col, F.col("_whole"))
     cut_rows = keyed.where(F.col("_whole").isNull())
-    cut_rows = _with_quantile_bucket(cut_rows, sub_key, sub_buckets, "_b2")
-    sub = cut_rows.groupBy("_b1", "_b2").agg(F.count(F.lit(1)).alias("_n2"))
-    run2 = Window.partitionBy("_b1").orderBy("_b2").rowsBetween(Window.unboundedPreceding, -1)
+    cut_rows = _with_range_bucket(cut_rows, sub_key, sub_buckets, "_b2")
+    sub = cut_rows.groupBy(F.col("_b1").alias("_j1"), F.col("_b2").alias("_j2")).agg(F.count(F.lit(1)).alias("_n2"))
+    run2 = Window.partitionBy("_j1").orderBy("_j2").rowsBetween(Window.unboundedPreceding, -1)
     # At most two cut buckets x ``sub_buckets`` rows.
     sub = sub.withColumn("_s2", F.coalesce(F.sum("_n2").over(run2), F.lit(0)))
     within = Window.partitionBy("_b1", "_b2").orderBy(*order)
-    refined = (cut_rows.join(F.broadcast(sub), ["_b1", "_b2"])
+    refined = (cut_rows.join(sub, F.col("_b1").eqNullSafe(F.col("_j1")) & (F.col("_b2") == F.col("_j2")))
                .withColumn("_idx", F.col("_s1") + F.col("_s2") + F.row_number().over(within))
                .withColumn(split_col, _label(F.col("_idx"), cuts, list(names))))
     cols = df.columns + [split_col]
@@ -110,7 +131,7 @@ def temporal_split(df: DataFrame, fractions=SPLIT_FRACTIONS, names=("train", "va
 
 def entity_order_split(df: DataFrame, fractions=(0.8,), names=("train", "test")) -> DataFrame:
     """Split on (entity, period) order, i.e. by company (the pandas behaviour)."""
-    return ordered_split(df, [ENTITY, PERIOD], fractions, names, level1="quantile")
+    return ordered_split(df, [ENTITY, PERIOD], fractions, names, level1="range")
 
 
 def date_split(df: DataFrame, split_date: str, period: str = PERIOD, split_col: str = "split") -> DataFrame:
@@ -138,44 +159,57 @@ def distinct_values(parts: list[DataFrame], cols: list[str]) -> DataFrame:
     return out.distinct()
 
 
-def fit_label_encoder(df: DataFrame, cols: list[str], order: str = "alphabetAsc", keep_unseen: bool = False):
-    """One ``StringIndexer`` over several columns (a single fitting job).
-
-    ``alphabetAsc`` = rank of the distinct string values (LabelEncoder);
-    ``frequencyDesc`` fitted on distinct combinations = the notebook's indexer.
+def label_encode(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Encode each column as the 0-based rank of its value among the distinct values
+    (of ``fit_on``, by default of ``df``); a value or NULL that was not fitted stays NULL."""
+    mapping = mapping_table(fit_on if fit_on is not None else df, cols)
+    out = df
+    for c in cols:
+        own = mapping.where(F.col("column_name") == c).select(
+            F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"{c}_encoded"))
+        out = out.join(own, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+    return out
+
+
+def _ranked(values: DataFrame, order: list, groups: int) -> DataFrame:
+    """``values`` with ``code``, its 0-based position by ``order`` within ``column_name``.
+
+    Positions come from counts per range of the value, so a column with very many
+    categories is numbered by many tasks.
     """
-    idx = StringIndexer(inputCols=cols, outputCols=[f"{c}_encoded" for c in cols], stringOrderType=order,
-                        handleInvalid="keep" if keep_unseen else "error")
-    return idx.fit(df.select(*[F.col(c).cast("string").alias(c) for c in cols]))
+    ranged = _with_range_bucket(values, order[0], groups, "_r")
+    sizes = ranged.groupBy(F.col("column_name").alias("_c"), F.col("_r").alias("_q")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_c").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_s", F.coalesce(F.sum("_n").over(before), F.lit(0)))  # one row per column and range
+    within = Window.partitionBy("column_name", "_r").orderBy(*order)
+    return (ranged.join(sizes, (F.col("column_name") == F.col("_c")) & (F.col("_r") == F.col("_q")))
+            .withColumn("code", (F.col("_s") + F.row_number().over(within) - 1).cast("int"))
+            .select(*values.columns, "code"))
 
 
-def label_encode(df: DataFrame, cols: list[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Encode each column as the 0-based rank of its value among the distinct values."""
-    model = fit_label_encoder(fit_on if fit_on is not None else df, cols)
-    casted = df.withColumns({c: F.col(c).cast("string") for c in cols})
-    out = model.transform(casted)
-    return out.withColumns({f"{c}_encoded": F.col(f"{c}_encoded").cast("int") for c in cols})
+def mapping_table(df: DataFrame, cols: list[str], by_frequency: bool = False, groups: int = 64) -> DataFrame:
+    """(column_name, value, code) of each column's distinct values, as a distributed table.
 
-
-def encoder_mapping(spark, model, cols: list[str]) -> DataFrame:
-    """The value -> index mapping actually used, as a table (column, value, code).
-    The labels already live in the fitted model (one per category)."""
-    rows = [(c, v, i) for c, labels in zip(cols, model.labelsArray) for i, v in enumerate(labels)]
-    return spark.createDataFrame(rows, "column_name string, value string, code int")
+    Codes are the 0-based rank of the value (LabelEncoder); ``by_frequency`` ranks by
+    descending count over the distinct *combinations* of ``cols``, ties by value.
+    """
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+    long = (texts.distinct() if by_frequency else texts).unpivot([], cols, "column_name", "value").where(
+        F.col("value").isNotNull())
+    counted = long.groupBy("column_name", "value").agg((-F.count(F.lit(1))).alias("_by"))
+    order = ["_by", "value"] if by_frequency else ["value"]
+    return _ranked(counted, order, groups).select("column_name", "value", "code")
 
 
 def mapping_from(df: DataFrame, col: str) -> DataFrame:
-    """E1 as a table: distinct values of ``col`` (as strings) with their 0-based rank."""
-    vals = df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
-    # One row per distinct category; the global rank runs on that small table.
-    return vals.withColumn("code", (F.dense_rank().over(Window.orderBy("value")) - 1).cast("int"))
+    """E1 as a table for one column: (value, code)."""
+    return mapping_table(df, [col]).select("value", "code")
 
 
-def apply_mapping(df: DataFrame, col: str, mapping: DataFrame, unseen: int = 0,
-                  max_categories: int = 1_000_000) -> DataFrame:
-    """Apply a stored mapping; unseen (or NULL) values -> ``unseen`` (0 by default)."""
-    m = bounded_broadcast(mapping.select(F.col("value").alias("_v"), F.col("code").alias("_code")),
-                          max_categories)
+def apply_mapping(df: DataFrame, col: str, mapping: DataFrame, unseen: int = 0) -> DataFrame:
+    """Apply a stored mapping; unseen (or NULL) values -> ``unseen`` (0 by default).
+    The join strategy is left to AQE, which measures the mapping's bytes."""
+    m = mapping.select(F.col("value").alias("_v"), F.col("code").alias("_code"))
     out = df.join(m, F.col(col).cast("string") == F.col("_v"), "left")
     return out.withColumn(f"{col}_encoded", F.coalesce(F.col("_code"), F.lit(unseen))).drop("_v", "_code")
 
@@ -185,10 +219,3 @@ def class_weights(df: DataFrame, target: str = TARGET, digits: int = 6) -> DataF
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("count"))
     agg = counts.agg(F.struct(F.sum("count").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
     return counts.withColumn("weight", F.round(agg["n"] / (agg["k"] * F.col("count")), digits))
-
-
-def with_class_weights(df: DataFrame, target: str = TARGET, weight_col: str = "weight") -> DataFrame:
-    """Attach balanced weights to rows; one row per label class is broadcast."""
-    w = class_weights(df, target, digits=12).select(target, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), target, "left")
-

@@ -83,10 +83,15 @@ def overall_metrics(cm: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred
         F.round(ratio(F.sum(F.col("f1") * F.col("support")), F.sum("support")), digits).alias("f1_weighted"))
 
 
-def with_errors(pred: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
-    """Error / hit flags (NULL-safe: a missing prediction is an error)."""
-    hit = F.col(y_true).eqNullSafe(F.col(y_pred))
-    return pred.withColumns({"erro": ~hit, "acerto": hit})
+def binary_metrics(pred: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred", positive: int = 1,
+                   digits: int = 6) -> DataFrame:
+    """A24, binary form: accuracy, and precision / recall / F1 of the positive class (0 where undefined)."""
+    real, said = F.col(y_true) == positive, F.col(y_pred) == positive
+    row = pred.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(y_true) == F.col(y_pred)).alias("hits"),
+                   F.count_if(real & said).alias("tp"), F.count_if(real).alias("real"), F.count_if(said).alias("said"))
+    parts = row.select(ratio(F.col("hits"), F.col("n")).alias("accuracy"), ratio(F.col("tp"), F.col("said")).alias("precision"),
+                       ratio(F.col("tp"), F.col("real")).alias("recall"), ratio(2 * F.col("tp"), F.col("said") + F.col("real")).alias("f1"))
+    return parts.select(*[F.round(c, digits).alias(c) for c in parts.columns])
 
 
 def errors_by_class(pred: DataFrame, y_true: str = "y_true", digits: int = 4) -> DataFrame:
@@ -158,7 +163,8 @@ def positive_profile(pred: DataFrame, entity: str = "cnpj", y_true: str = "y_tru
 
 def feature_importance(spark, names: list[str], importances, families: dict[str, list[str]] | None = None,
                        top: int | None = None) -> DataFrame:
-    """Ranked importances (+ optional sum per family; families may overlap).
+    """Ranked importances, or the sum per family: a family lists features by name or, after a
+    ``*``, by a part of the name; families may overlap.
 
     ``importances`` is the model's feature-importance vector: one value per
     feature, already on the driver as part of the fitted model.
@@ -166,11 +172,11 @@ def feature_importance(spark, names: list[str], importances, families: dict[str,
     rows = [(n, float(v)) for n, v in zip(names, importances.toArray())]
     df = spark.createDataFrame(rows, "feature string, importance double")
     if families:
-        fam = [(f, w) for f, words in families.items() for w in words]
-        fdf = spark.createDataFrame(fam, "family string, word string")
-        # features x family words, both a few dozen rows; a feature counts once per family
-        matched = (df.join(F.broadcast(fdf), F.lower("feature").contains(F.lower("word")))
-                   .select("family", "feature", "importance").distinct())
-        return matched.groupBy("family").agg(F.sum("importance").alias("importance"))
+        # features x families, both a few dozen entries of the fitted model
+        def belongs(name: str, members: list[str]) -> bool:
+            return any(m[1:] in name if m.startswith("*") else m == name for m in members)
+        own = [(family, n, v) for family, members in families.items() for n, v in rows if belongs(n, members)]
+        return spark.createDataFrame(own, "family string, feature string, importance double").groupBy("family").agg(
+            F.sum("importance").alias("importance"), F.count(F.lit(1)).alias("features"))
     ranked = df.orderBy(F.desc("importance"), "feature")
     return ranked.limit(top) if top else ranked

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import DEBT_COLUMNS, DEBT_LAG_COLUMNS, DEBT_LAGS, ROLLING_WINDOWS, STATUS_LAGS
+from ..constants import (DEBT_COLUMNS, DEBT_LAG_COLUMNS, DEBT_LAGS, DEBT_ROLLING_WINDOWS, PREDICTOR_FEATURES,
+                         ROLLING_WINDOWS, STATUS_LAGS)
 from ..functions.dates import calendar_parts, months_between_starts
 from .clean import existing
 
@@ -71,7 +72,7 @@ def rolling_features(df: DataFrame, col: str = TARGET, windows=ROLLING_WINDOWS,
     return df.withColumns(out)
 
 
-def rolling_sums(df: DataFrame, cols=DEBT_COLUMNS, windows=(3, 6), digits: int = 2) -> DataFrame:
+def rolling_sums(df: DataFrame, cols=DEBT_COLUMNS, windows=DEBT_ROLLING_WINDOWS, digits: int = 2) -> DataFrame:
     """Rolling sum of each debt column over the last ``w`` rows."""
     base = ordered()
     return df.withColumns({f"{c}_rolling_sum_{w}": F.round(F.sum(c).over(base.rowsBetween(-w + 1, 0)), digits)
@@ -128,3 +129,11 @@ def feature_frame(df: DataFrame) -> DataFrame:
             .transform(rolling_features)
             .transform(entity_stats)
             .transform(relative_position))
+
+
+def predictor_frame(df: DataFrame) -> DataFrame:
+    """The status predictor's frame: the feature chain with debt lags (W2) and rolling debt sums (W4),
+    its listed features first, then those of the debts."""
+    full = df.transform(feature_frame).transform(debt_lag_features).transform(rolling_sums)
+    debts = [c for c in full.columns if c.startswith("pgfn") and ("_lag_" in c or "_rolling_" in c)]
+    return full.select(*dict.fromkeys([ENTITY, PERIOD, TARGET, *existing(full, PREDICTOR_FEATURES), *debts]))

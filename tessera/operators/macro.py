@@ -9,8 +9,6 @@ avoids the daily fan-out of the oldest script.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,20 +31,18 @@ def series_means(long: DataFrame, series: str, ts: str, value: str, unit: str =
             .agg(F.round(F.avg(value), digits).alias("valor")))
 
 
-def wide(means: DataFrame, names: list[str], period: str = "ano_mes") -> DataFrame:
+def wide(means: DataFrame, names: list[str], period: str = "ano_mes", unlisted: str | None = None) -> DataFrame:
     """One row per period, one column per series (NULL where a series has no value).
 
     ``names`` is the explicit series list (saves the distinct-values job and
-    fixes the column order); the result has one row per period.
+    fixes the column order); the result has one row per period.  ``unlisted`` names a
+    column with the number of the period's values of series that are not listed, so
+    that none is left out unseen; a NULL series counts as unlisted.
     """
-    out = means.groupBy(period).pivot("serie", names).agg(F.first("valor"))
-    return out.select(period, *[F.col(n).cast("double").alias(n) for n in names])
-
-
-def wide_by_outer_joins(parts: dict[str, DataFrame], period: str = "ano_mes") -> DataFrame:
-    """J1, literal form: full outer equi-join chain of per-series frames on the period."""
-    frames = [df.select(period, F.col("valor").alias(name)) for name, df in parts.items()]
-    return reduce(lambda a, b: a.join(b, period, "full"), frames)
+    picked = [F.first(F.when(F.col("serie") == n, F.col("valor")), ignorenulls=True).cast("double").alias(n) for n in names]
+    if unlisted:
+        picked.append(F.count_if(~F.coalesce(F.col("serie").isin(names), F.lit(False))).alias(unlisted))
+    return means.groupBy(period).agg(*picked)
 
 
 def silver(wide_df: DataFrame, period: str = "ano_mes") -> DataFrame:

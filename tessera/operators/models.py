@@ -1,4 +1,4 @@
-"""Distributed classifiers on ``pyspark.ml``.
+"""Distributed classifiers on ``pyspark.ml``.
 
 Instead of pulling every row to the driver for a single-machine fit, the
 whole chain - indexers, assembler, forest - is one ``Pipeline`` fitted on the
@@ -21,7 +21,7 @@ from ..constants import MODEL_FEATURES, TARGET
 from ..session import cut_lineage
 from .clean import existing
 from .dataset import class_weights
-from .panel import asof_latest
+from .panel import asof_last_non_null
 
 
 def split_features(df: DataFrame, features: list[str] = MODEL_FEATURES) -> tuple[list[str], list[str]]:
@@ -53,7 +53,7 @@ def boosted(rounds: int = 200, max_depth: int = 6, rate: float = 0.1, sample: fl
     """M2: one-vs-rest boosted trees (row and column sampling 0.8)."""
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=max_depth, stepSize=rate,
                         subsamplingRate=sample, featureSubsetStrategy=str(sample), seed=seed, maxBins=max_bins)
-    return OneVsRest(classifier=gbt, featuresCol="features", labelCol="label")
+    return OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", parallelism=4)
 
 
 def fit(train: DataFrame, classifier=None, features: list[str] = MODEL_FEATURES, label: str = TARGET,
@@ -75,16 +75,15 @@ def fit(train: DataFrame, classifier=None, features: list[str] = MODEL_FEATURES,
     cat_idx = StringIndexer(inputCols=cats, outputCols=[f"{c}_encoded" for c in cats], handleInvalid="keep",
                             stringOrderType="alphabetAsc") if cats else None
     label_idx = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")
-    if cats:
-        card = train.agg(*[F.count_distinct(c).alias(c) for c in cats]).first()
-        bins = max(32, max(card) + 2)
-    else:
-        bins = 32
-    clf = classifier if classifier is not None else forest()
+    bins = 32
+    if cats:  # fitted once; the indexer knows the sizes
+        cat_idx = cat_idx.fit(train)
+        bins = max(bins, max(len(labels) for labels in cat_idx.labelsArray) + 2)
+    clf = (classifier if classifier is not None else forest()).copy()  # the caller's own stays as it is
     if hasattr(clf, "setMaxBins"):
         clf = clf.setMaxBins(max(bins, clf.getMaxBins()))
     elif isinstance(clf, OneVsRest):
-        inner = clf.getClassifier()
+        inner = clf.getClassifier().copy()
         clf = clf.setClassifier(inner.setMaxBins(max(bins, inner.getMaxBins())))
     assembler = VectorAssembler(inputCols=nums + [f"{c}_encoded" for c in cats], outputCol="features",
                                 handleInvalid="keep")
@@ -142,11 +141,14 @@ def score(model: PipelineModel, df: DataFrame, label: str = TARGET, keep: list[s
                       F.array_max("_p").alias("probabilidade_max"), *per_class)
 
 
-def score_month(model: PipelineModel, features_df: DataFrame, as_of: str, keep=("cnpj", "ano_mes")) -> DataFrame:
-    """M4: features are built on the full history first, then each entity's latest row
-    at or before ``as_of`` (J9) is scored."""
-    latest = asof_latest(features_df, as_of)
-    return score(model, latest, keep=list(keep))
+def score_month(model: PipelineModel, features_df: DataFrame, as_of: str, keep=("cnpj", "ano_mes"),
+                status: str = TARGET) -> DataFrame:
+    """M4: features are built on the full history first, then each entity's last known values
+    at or before ``as_of`` (O6) are scored, missing numbers as 0; the current status is kept."""
+    latest = asof_last_non_null(features_df, as_of)
+    cats = set(_categorical_indexer(model).getInputCols()) if _categorical_indexer(model) else set()
+    numbers = [c for c in feature_names(model) if c in latest.columns and c not in cats]
+    return score(model, latest.fillna(0, subset=numbers), label=status, keep=list(keep))
 
 
 def feature_names(model: PipelineModel) -> list[str]:
@@ -172,23 +174,3 @@ def run_info(spark: SparkSession, model: PipelineModel, metrics: dict | None = N
     row = {"features": json.dumps(feature_names(model)), "labels": json.dumps(list(_label_model(model).labels)),
            "stages": json.dumps([type(s).__name__ for s in model.stages]), "metrics": json.dumps(metrics or {})}
     return spark.createDataFrame([row], "features string, labels string, stages string, metrics string")
-
-
-def indexer_mapping(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """The value -> index mapping the fitted categorical indexer really uses."""
-    idx = next((s for s in model.stages if hasattr(s, "labelsArray") and len(s.getOutputCols()) > 0), None)
-    rows = []
-    if idx is not None:
-        for col, labels in zip(idx.getInputCols(), idx.labelsArray):
-            rows += [(col, v, i) for i, v in enumerate(labels)]
-    return spark.createDataFrame(rows, "column_name string, value string, code int")
-
-
-def frequency_index(df: DataFrame, cols: list[str]) -> DataFrame:
-    """The notebook's indexer - frequency order fitted on *distinct combinations*,
-    unseen values kept as an extra index - returned as its mapping table (E4)."""
-    combos = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).distinct()
-    model = StringIndexer(inputCols=cols, outputCols=[f"{c}_encoded" for c in cols], handleInvalid="keep",
-                          stringOrderType="frequencyDesc").fit(combos)
-    rows = [(c, v, i) for c, labels in zip(cols, model.labelsArray) for i, v in enumerate(labels)]
-    return df.sparkSession.createDataFrame(rows, "column_name string, value string, code int")

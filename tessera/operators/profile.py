@@ -69,15 +69,16 @@ def counts_by_year_month(df: DataFrame, period: str = "ano_mes", target: str = "
             .agg(F.count(F.lit(1)).alias("count")))
 
 
-def pivot_counts(df: DataFrame, key: str, pivot_col: str, values: list, prefix: str) -> DataFrame:
-    """Key x value count matrix with an explicit value list (no extra job); missing -> 0."""
-    out = df.groupBy(key).pivot(pivot_col, values).agg(F.count(F.lit(1)))
-    out = out.withColumnsRenamed({str(v): f"{prefix}{v}" for v in values})
-    return out.fillna(0, subset=[f"{prefix}{v}" for v in values])
+def pivot_counts(df: DataFrame, key: str, pivot_col: str, values: list, prefix: str, other: str = "outras") -> DataFrame:
+    """Key x value count matrix with an explicit value list (no extra job); missing -> 0.
+    Rows of any other value, or of none, are counted in ``<prefix><other>``."""
+    counts = [F.count_if(F.col(pivot_col) == v).alias(f"{prefix}{v}") for v in values]
+    rest = F.count_if(~F.coalesce(F.col(pivot_col).isin(values), F.lit(False)))
+    return df.groupBy(key).agg(*counts, rest.alias(f"{prefix}{other}"))
 
 
 def row_percent(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
-    """Each cell as percent of its row total."""
+    """Each cell as percent of its row total; ``cols`` are all cells of the row."""
     total = sum((F.col(c) for c in cols[1:]), F.col(cols[0]))
     return df.withColumns({c: percent(F.col(c), total, digits) for c in cols})
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import FAILURE_FEATURES
+from ..operators import features as fe
 from ..operators import transitions as tr
+from ..operators.clean import drop_incomplete, existing
 from .panel import panel
 
 NUMERIC_PROFILE = ["situacao_cadastral", "capital_social", "tempo_atividade_anos",
@@ -48,3 +51,12 @@ def failure_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("cnpj", "ano_mes", "situacao_cadastral", "tempo_atividade_anos", "num_mudancas_anteriores",
                     "meses_desde_ultima_mudanca", F.col("vai_quebrar").alias("y_true"),
                     F.when(prob > 0.5, F.lit(1)).otherwise(F.lit(0)).alias("y_pred"), prob.alias("prob_quebra"))
+
+
+def failure_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 training rows: the feature chain, change history and debt differences of entities that
+    ever changed, without rows that miss a listed feature."""
+    frame = (fe.feature_frame(panel(spark, sf_dir)).transform(tr.status_changes).transform(tr.dynamic_entities)
+             .transform(tr.next_period_targets).transform(tr.change_history).transform(tr.debt_differences))
+    wanted = existing(frame, FAILURE_FEATURES)
+    return drop_incomplete(frame.select("cnpj", "ano_mes", *wanted, "vai_quebrar"), [*wanted, "vai_quebrar"])

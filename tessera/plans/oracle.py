@@ -11,6 +11,7 @@ from __future__ import annotations
 from ..constants import (CONFIDENCE_BANDS, DEBT_COLUMNS, DEBT_LAG_COLUMNS, MODEL_FEATURES, STATUS_CODES,
                          STATUS_LABELS, STATUS_LAGS)
 from . import frames as fr
+from .oracle_landed import LANDED_ORACLE
 from .oracle_panel import with_panel
 
 MACRO_COLS = ["selic_meta_mensal_t_minus_1", "ipca_mensal_t_minus_1", "taxa_desemprego_t_minus_1"]
@@ -148,7 +149,7 @@ def _work_list_ctes() -> str:
 q AS (SELECT CAST(range AS INTEGER) AS trimestre FROM range(1, 5)),
 t AS (SELECT * FROM (VALUES {types}) v(tipo)),
 work AS (SELECT ano, trimestre, tipo, printf('%04d/%dtrimestre/%s', ano, trimestre, tipo) AS caminho,
-                printf('Dados_abertos_%s_%04d_T%02d.zip', tipo, ano, trimestre) AS arquivo
+                printf('%04d_trimestre_%02d/Dados_abertos_%s.zip', ano, trimestre, tipo) AS arquivo
          FROM y, q, t)"""
 
 
@@ -162,7 +163,7 @@ def build() -> dict[str, str]:
     q["panel_overview"] = with_panel('SELECT count(*) AS "rows", count(DISTINCT cnpj) AS entities, '
                                      'min(ano_mes) AS min_period, max(ano_mes) AS max_period FROM panel')
     q["status_distribution"] = with_panel(status_freq)
-    q["minority_statuses"] = with_panel(f"SELECT * FROM ({status_freq}) f WHERE count < 100")
+    q["minority_statuses"] = with_panel(f"SELECT * FROM ({status_freq}) f WHERE count < (SELECT max(count) FROM ({status_freq}) g)")
     q["top_categories"] = with_panel("SELECT uf, count(*) AS count FROM panel GROUP BY uf "
                                      "ORDER BY count DESC, uf LIMIT 10")
     q["distinct_per_column"] = with_panel(union_all([
@@ -172,12 +173,18 @@ def build() -> dict[str, str]:
     q["status_by_month"] = with_panel(
         "SELECT CAST(year(ano_mes) AS INTEGER) AS ano, CAST(month(ano_mes) AS INTEGER) AS mes, situacao_cadastral,"
         " count(*) AS count FROM panel GROUP BY 1, 2, 3")
-    pivot = ", ".join(f"count(*) FILTER (WHERE situacao_cadastral = {c}) AS status_{c}" for c in STATUS_CODES)
+    pivot = ", ".join([*(f"count(*) FILTER (WHERE situacao_cadastral = {c}) AS status_{c}" for c in STATUS_CODES),
+                       "count(*) FILTER (WHERE coalesce(situacao_cadastral NOT IN (1, 2, 3, 4, 8), true)) AS status_outras"])
     q["status_pivot"] = with_panel(f"SELECT ano_mes, {pivot} FROM panel GROUP BY ano_mes")
-    total = " + ".join(f"status_{c}" for c in STATUS_CODES)
+    cells = [f"status_{c}" for c in (*STATUS_CODES, "outras")]
+    total = " + ".join(cells)
     q["status_pivot_percent"] = with_panel(
-        "SELECT ano_mes, " + ", ".join(f"{pct(f'status_{c}', total)} AS status_{c}" for c in STATUS_CODES) +
+        "SELECT ano_mes, " + ", ".join(f"{pct(c, total)} AS {c}" for c in cells) +
         f" FROM (SELECT ano_mes, {pivot} FROM panel GROUP BY ano_mes) sp")
+    q["category_pivot"] = with_panel(
+        "SELECT ano_mes, count(*) FILTER (WHERE cnae_fiscal_principal = 'BUILDING') AS \"cnae_BUILDING\", "
+        "count(*) FILTER (WHERE cnae_fiscal_principal = 'MACHINERY') AS \"cnae_MACHINERY\", "
+        "count(*) FILTER (WHERE cnae_fiscal_principal NOT IN ('BUILDING', 'MACHINERY')) AS cnae_outras FROM panel GROUP BY 1")
     miss = union_all([
         f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL"
         + (f" OR isnan({c})" if c in PANEL_DOUBLES else "") + ") AS missing, count(*) AS n FROM panel"
@@ -225,6 +232,11 @@ g AS (SELECT range AS bin FROM range(50))""")
         " FROM panel GROUP BY ano_mes")
     q["series_daily_means"] = ("SELECT CAST(ts AS DATE) AS periodo, event_type AS serie, round(avg(value), 6) AS valor"
                                " FROM events GROUP BY 1, 2")
+    first, second = fr.EVENT_TYPES[:2]
+    q["macro_unlisted"] = (
+        f"WITH {_event_means('CAST(ts AS DATE)')} SELECT periodo, max(valor) FILTER (WHERE serie = '{first}') AS \"{first}\", "
+        f"max(valor) FILTER (WHERE serie = '{second}') AS \"{second}\", "
+        f"count(*) FILTER (WHERE serie NOT IN ('{first}', '{second}')) AS fora_da_lista FROM em GROUP BY periodo")
     hourly = _event_means("date_trunc('hour', ts)")
     q["macro_wide_outer"] = f"WITH {hourly}, {_wide()} SELECT * FROM wide"
     fills = ", ".join(f'round(coalesce("{t}", (SELECT avg("{t}") FROM wide)), 6) AS "{t}"' for t in fr.EVENT_TYPES)
@@ -271,6 +283,38 @@ SELECT cnpj, ano_mes, posicao_temporal, total_registros_empresa,
 FROM (SELECT cnpj, ano_mes, row_number() OVER ({W}) - 1 AS posicao_temporal,
              count(*) OVER (PARTITION BY cnpj) AS total_registros_empresa FROM panel) r""")
 
+    predictor = ["ano", "mes", "trimestre", "semestre", "mes_sin", "mes_cos", "meses_desde_inicio", "cnae_fiscal_principal",
+                 "uf", "tempo_atividade_anos", *DEBT_LAG_COLUMNS, "situacao_cadastral_t_minus_1",
+                 *(f"situacao_cadastral_lag_{k}" for k in (1, 2, 3, 6)),
+                 *(f"situacao_cadastral_rolling_mean_{k}" for k in (3, 6, 12)),
+                 *(f"situacao_cadastral_rolling_std_{k}" for k in (3, 6)), "posicao_relativa",
+                 "situacao_cadastral_mean_empresa", "situacao_cadastral_std_empresa"]
+    q["predictor_features"] = with_panel(
+        f"SELECT cnpj, ano_mes, situacao_cadastral, {', '.join(predictor)}, {dl}, {rs} FROM feat2", _feature_select())
+    failure = ["ano", "mes", "trimestre", "semestre", "mes_sin", "mes_cos", "meses_desde_inicio", "cnae_fiscal_principal",
+               "uf", "situacao_cadastral", "situacao_cadastral_t_minus_1", "tempo_atividade_anos", *DEBT_LAG_COLUMNS,
+               *(f"situacao_cadastral_lag_{k}" for k in (1, 2, 3)), "situacao_cadastral_rolling_mean_3",
+               "situacao_cadastral_rolling_mean_6", "situacao_cadastral_rolling_std_3", "num_mudancas_anteriores",
+               "meses_desde_ultima_mudanca", "taxa_mudanca_empresa", *(f"{c}_variacao" for c in DEBT_COLUMNS), "vai_quebrar"]
+    diffs = ", ".join(f"round({c} - lag({c}) OVER ({W}), 2) AS {c}_variacao" for c in DEBT_COLUMNS)
+    q["failure_features"] = with_panel(
+        f"SELECT cnpj, ano_mes, {', '.join(failure)} FROM train WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in failure),
+        _feature_select() + f""",
+fch0 AS (SELECT *, lag(situacao_cadastral) OVER ({W}) AS anterior FROM feat2),
+fch AS (SELECT *, CASE WHEN anterior IS NOT NULL AND anterior <> situacao_cadastral THEN 1 ELSE 0 END AS mudou,
+               row_number() OVER ({W}) AS rn,
+               CAST(coalesce(lead(situacao_cadastral) OVER ({W}) = 8, false) AS INTEGER) AS vai_quebrar, {diffs} FROM fch0),
+train AS (SELECT *, CAST(sum(mudou) OVER u AS BIGINT) AS num_mudancas_anteriores,
+                 CAST(rn - coalesce(max(CASE WHEN mudou = 1 THEN rn END) OVER u, 0) AS BIGINT) AS meses_desde_ultima_mudanca,
+                 round(sum(mudou) OVER u / rn, 6) AS taxa_mudanca_empresa
+          FROM fch WHERE cnpj IN (SELECT cnpj FROM fch WHERE mudou = 1)
+          WINDOW u AS ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""")
+    q["binary_metrics"] = with_panel(f"""
+SELECT round({ratio('hits', 'n')}, 6) AS accuracy, round({ratio('tp', 'said')}, 6) AS precision,
+       round({ratio('tp', 'pos')}, 6) AS recall, round({ratio('2 * tp', 'said + pos')}, 6) AS f1
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE y_true = y_pred) AS hits, count(*) FILTER (WHERE y_true = 1) AS pos,
+             count(*) FILTER (WHERE y_pred = 1) AS said, count(*) FILTER (WHERE y_true = 1 AND y_pred = 1) AS tp FROM fpred) m""", FAIL)
+
     q["status_changes"] = with_panel(
         "SELECT cnpj, ano_mes, situacao_cadastral, situacao_anterior, houve_mudanca FROM chg", CHG)
     q["change_totals"] = with_panel(f"""
@@ -330,7 +374,7 @@ FROM (SELECT split, situacao_cadastral, count(*) AS count FROM sp GROUP BY 1, 2)
     q["label_encode"] = with_panel(f"SELECT cnpj, ano_mes, {enc} FROM panel")
     q["encode_unseen_zero"] = with_panel(f"""
 SELECT p.cnpj, p.ano_mes, p.uf, coalesce(m.code, 0) AS uf_encoded
-FROM panel p LEFT JOIN m ON m.value = p.uf WHERE p.ano_mes >= DATE '{fr.SPLIT_DATE}'""", f"""
+FROM panel p LEFT JOIN m ON m.value = p.uf """, f"""
 m AS (SELECT uf AS value, CAST(dense_rank() OVER (ORDER BY uf) - 1 AS INTEGER) AS code
       FROM (SELECT DISTINCT uf FROM panel WHERE ano_mes < DATE '{fr.SPLIT_DATE}' AND uf IS NOT NULL) d)""")
     q["class_weights"] = with_panel("""
@@ -438,7 +482,9 @@ SELECT * FROM work w WHERE NOT EXISTS (
 SELECT periodo FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS periodo FROM orders) p
 WHERE periodo >= '1996-03' AND periodo <= '1998-11' AND CAST(substr(periodo, 6, 2) AS INTEGER) IN (1, 2, 3, 6, 12)"""
     q["page_links"] = """
-WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS ls FROM pages),
+WITH named AS (SELECT page_id, html || '<a href="/dados/' || (['Estabelecimentos', 'Empresa', 'lucro_real_', 'Socios'])[page_id % 4 + 1]
+                  || page_id || '.zip">x</a>' AS html FROM pages),
+l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS ls FROM named),
 x AS (SELECT page_id, CAST(unnest(range(0, len(ls))) AS INTEGER) AS pos, unnest(ls) AS link FROM l),
 y AS (SELECT *, regexp_extract(link, '([^/]*)/?$', 1) AS arquivo FROM x)
 SELECT page_id, pos, link, arquivo,
@@ -449,4 +495,4 @@ FROM y"""
     return q
 
 
-ORACLE = build()
+ORACLE = build() | LANDED_ORACLE

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,7 +95,7 @@ def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel.join(F.broadcast(monthly_macro(spark, sf_dir)), PERIOD, "left")
 
 
-_MATERIALISED: dict[tuple[int, str], tuple[str, str]] = {}
+_MATERIALISED: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def panel(spark: SparkSession, sf_dir: str, materialise: bool = True, buckets: int | None = None) -> DataFrame:
@@ -106,7 +107,7 @@ def panel(spark: SparkSession, sf_dir: str, materialise: bool = True, buckets: i
     """
     if not materialise:
         return build_panel(spark, sf_dir)
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     kind, ref = _MATERIALISED.get(key, (None, None))
     if kind == "path":
         return spark.read.parquet(ref)
@@ -121,7 +122,7 @@ def panel(spark: SparkSession, sf_dir: str, materialise: bool = True, buckets: i
          .option("path", path).saveAsTable(name))
         _MATERIALISED[key] = ("table", name)
         return spark.table(name)
-    except Exception:  # noqa: BLE001 - no usable catalog: same data, plain Parquet (windows then shuffle)
+    except AnalysisException:  # no catalog takes the table: same data, plain Parquet (windows then shuffle)
         built.write.mode("overwrite").parquet(path + "-plain")
         _MATERIALISED[key] = ("path", path + "-plain")
         return spark.read.parquet(path + "-plain")

@@ -42,7 +42,9 @@ def status_distribution(spark, sf):
 
 
 def minority_statuses(spark, sf):
-    return pr.minority(pr.frequency(panel(spark, sf), "situacao_cadastral", STATUS_LABELS))
+    """Statuses of fewer rows than the most frequent one."""
+    freq = pr.frequency(panel(spark, sf), "situacao_cadastral", STATUS_LABELS)
+    return pr.minority(freq, freq.agg(F.max("count")).scalar())
 
 
 def top_categories(spark, sf):
@@ -63,10 +65,15 @@ def status_pivot(spark, sf):
 
 
 def status_pivot_percent(spark, sf):
-    cols = [f"status_{c}" for c in STATUS_CODES]
+    cols = [f"status_{c}" for c in (*STATUS_CODES, "outras")]
     return pr.row_percent(status_pivot(spark, sf), cols)
 
 
+def category_pivot(spark, sf):
+    """A6 with a list that leaves values out: they are counted together."""
+    return pr.pivot_counts(panel(spark, sf), "ano_mes", "cnae_fiscal_principal", ["BUILDING", "MACHINERY"], "cnae_")
+
+
 def missing_profile(spark, sf):
     return pr.missing_profile(panel(spark, sf))
 
@@ -111,6 +118,11 @@ def macro_wide_outer(spark, sf):
     return mc.wide(_event_means(spark, sf, "hour"), fr.EVENT_TYPES, period="periodo")
 
 
+def macro_unlisted(spark, sf):
+    """J1 with a list that leaves series out: their values are counted."""
+    return mc.wide(_event_means(spark, sf, "day"), fr.EVENT_TYPES[:2], period="periodo", unlisted="fora_da_lista")
+
+
 def macro_silver_fill(spark, sf):
     filled = mc.silver(macro_wide_outer(spark, sf), period="periodo")
     return filled.select("periodo", *[F.round(c, 6).alias(c) for c in fr.EVENT_TYPES])
@@ -160,6 +172,10 @@ def relative_position(spark, sf):
                                                           "posicao_relativa")
 
 
+def predictor_features(spark, sf):
+    return fe.predictor_frame(panel(spark, sf))
+
+
 # --- transitions ---------------------------------------------------------------------------------
 
 def status_changes(spark, sf):
@@ -241,7 +257,7 @@ def label_encode(spark, sf):
 def encode_unseen_zero(spark, sf):
     p = ds.date_split(panel(spark, sf).select(*KEYS, "uf"), fr.SPLIT_DATE)
     mapping = ds.mapping_from(p.where(F.col("split") == "train"), "uf")
-    return ds.apply_mapping(p.where(F.col("split") == "test"), "uf", mapping).select(*KEYS, "uf", "uf_encoded")
+    return ds.apply_mapping(p, "uf", mapping).select(*KEYS, "uf", "uf_encoded")
 
 
 def class_weights(spark, sf):
@@ -305,6 +321,14 @@ def risk_by_status(spark, sf):
     return ev.risk_by_status(fr.failure_predictions(spark, sf))
 
 
+def binary_metrics(spark, sf):
+    return ev.binary_metrics(fr.failure_predictions(spark, sf))
+
+
+def failure_features(spark, sf):
+    return fr.failure_training(spark, sf)
+
+
 def positive_profile(spark, sf):
     return ev.positive_profile(fr.failure_predictions(spark, sf))
 
@@ -383,7 +407,11 @@ def period_filter(spark, sf):
 
 
 def page_links(spark, sf):
-    pages = table(spark, sf, "pages", "page_id", "html")
+    """The pages' links, and to each page one link named like a landed archive (or not)."""
+    names = F.array(*[F.lit(n) for n in ("Estabelecimentos", "Empresa", "lucro_real_", "Socios")])
+    link = F.concat(F.lit('<a href="/dados/'), names[(F.col("page_id") % 4).cast("int")], F.col("page_id").cast("string"),
+                    F.lit('.zip">x</a>'))
+    pages = table(spark, sf, "pages", "page_id", "html").withColumn("html", F.concat("html", link))
     return mf.classify_links(mf.links(pages, keep=["page_id"]))
 
 

@@ -1,21 +1,22 @@
-"""Registered queries without a SQL oracle: sources, sinks, models, streaming.
+"""Registered queries over landed files, streams and models.
 
-Each one lands files that Spark derives from the driver tables (the derived
-panel, ``events``) in a fresh folder under the shared checkpoint directory,
-then runs the operator under test on the whole of them.  The driver records
-a rows-only check for these; ``tests/test_sources.py`` and friends hold the
-exact checks against small fixtures.
+Each one lands files that Spark derives from the driver tables in a folder under the
+shared checkpoint directory (once per session and table folder), then runs the operator
+on the whole of them.  The deterministic ones have SQL in ``plans/oracle_landed.py``;
+models have none and are tested in ``tests/test_models.py``.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..constants import DEBT_TYPES, MODEL_FEATURES
+from ..constants import (BAD_ROW_BUDGET, DEBT_TYPES, FAILURE_FEATURES, FEATURE_FAMILIES, MACRO_SERIES,
+                         MODEL_FEATURES)
 from ..operators import dataset as ds
 from ..operators import evaluate as ev
 from ..operators import features as fe
@@ -25,88 +26,197 @@ from ..operators import panel as pn
 from ..operators.clean import drop_incomplete, existing
 from ..session import cut_lineage, shared_path
 from ..sinks import tables as sk
-from ..sources import archives, landed, series
+from ..sources import landed, series
 from ..sources.testdata import table
 from ..streaming import incremental, triggered
 from . import frames as fr
 from .panel import panel
 
 KEYS = ["cnpj", "ano_mes"]
+LANDED_FILES = "*.{csv,txt}"
 
 
 def _scratch(spark: SparkSession, what: str) -> str:
     return shared_path(spark, "tessera-work", what, uuid.uuid4().hex)
 
 
-def registry_frames(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Establishment and company rows in the landed layouts, derived from the panel."""
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def _landed_once(spark: SparkSession, sf: str, what: str, land: Callable[[str], None]) -> str:
+    """Folder of a landed file set, written on first use in this session."""
+    key = (spark.sparkContext.applicationId, sf, what)
+    if key not in _LANDED:
+        root = _scratch(spark, what)
+        land(root)
+        _LANDED[key] = root
+    return _LANDED[key]
+
+
+def _basico() -> F.Column:
+    return F.lpad(F.col("cnpj").cast("string"), 8, "0")
+
+
+def establishment_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Establishment rows in the landed layout, derived from the panel; some names hold quotes and a newline."""
     p = panel(spark, sf)
     first = F.min("ano_mes").over(Window.partitionBy("cnpj"))
-    est_cols = {c: F.lit(None).cast("string") for c in schemas.ESTABLISHMENT_COLUMNS}
-    est_cols.update({
-        "cnpj_basico": F.lpad(F.col("cnpj").cast("string"), 8, "0"),
+    number = F.col("cnpj").cast("string")
+    cols = {c: F.lit(None).cast("string") for c in schemas.ESTABLISHMENT_COLUMNS}
+    cols.update({
+        "cnpj_basico": _basico(),
         "cnpj_ordem": F.lit("0001"),
         "cnpj_dv": F.lpad((F.col("cnpj") % 97).cast("string"), 2, "0"),
         "identificador_matriz_filial": F.lit("1"),
-        "nome_fantasia": F.concat(F.lit("EMPRESA "), F.col("cnpj").cast("string")),
+        "nome_fantasia": F.when(F.col("cnpj") % 5 == 0, F.concat(F.lit('EMPRESA "'), number, F.lit('"\nLTDA')))
+        .otherwise(F.concat(F.lit("EMPRESA "), number)),
         "situacao_cadastral": F.col("situacao_cadastral").cast("string"),
         "data_inicio_atividade": F.date_format(first, "yyyyMMdd"),
         "cnae_fiscal_principal": F.col("cnae_fiscal_principal"),
         "uf": F.col("uf"),
     })
-    est = p.select(*[est_cols[c].alias(c) for c in schemas.ESTABLISHMENT_COLUMNS],
-                   F.date_format("ano_mes", "yyyy-MM").alias("ano_mes"))
-    comp = p.select(F.lpad(F.col("cnpj").cast("string"), 8, "0").alias("cnpj_basico"),
-                    F.concat(F.lit("RAZAO "), F.col("cnpj").cast("string")).alias("razao_social"),
-                    F.lit("2062").alias("natureza_juridica"), F.lit("49").alias("qualificacao_responsavel"),
-                    F.replace(F.format_string("%.2f", "capital_social"), F.lit("."), F.lit(",")).alias("capital_social"),
-                    F.col("porte_empresa"), F.lit(None).cast("string").alias("ente_federativo_responsavel"),
+    return p.select(*[cols[c].alias(c) for c in schemas.ESTABLISHMENT_COLUMNS],
                     F.date_format("ano_mes", "yyyy-MM").alias("ano_mes"))
-    return est, comp
 
 
-def _landed_registry(spark: SparkSession, sf: str) -> str:
-    root = _scratch(spark, "landing")
-    est, comp = registry_frames(spark, sf)
-    landed.land_csv(est, f"{root}/estabelecimentos")
-    landed.land_csv(comp, f"{root}/empresas")
-    return root
+def dirty_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw lines for every 37th entity: one too short, one too long, one with a malformed key."""
+    p = panel(spark, sf).where(F.col("cnpj") % 37 == 0)
+    short = F.concat(_basico(), F.lit(";0001"))
+    long = F.concat(_basico(), F.lit(";0002;00;1;NOME LONGO;02" + ";" * 24 + ";extra;extra"))
+    bad = F.concat(F.lit("XX"), F.col("cnpj").cast("string"), F.lit(";0003;00;1;RUIM;02" + ";" * 24))
+    return p.select(F.explode(F.array(short, long, bad)).alias("value"), F.date_format("ano_mes", "yyyy-MM").alias("ano_mes"))
+
+
+def company_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return panel(spark, sf).select(
+        _basico().alias("cnpj_basico"), F.concat(F.lit("RAZAO "), F.col("cnpj").cast("string")).alias("razao_social"),
+        F.lit("2062").alias("natureza_juridica"), F.lit("49").alias("qualificacao_responsavel"),
+        F.replace(F.format_string("%.2f", "capital_social"), F.lit("."), F.lit(",")).alias("capital_social"),
+        F.col("porte_empresa"), F.lit(None).cast("string").alias("ente_federativo_responsavel"),
+        F.date_format("ano_mes", "yyyy-MM").alias("ano_mes"))
+
+
+def _establishments(spark: SparkSession, sf: str) -> str:
+    def land(root):
+        landed.land_csv(establishment_rows(spark, sf), f"{root}/estabelecimentos")
+        dirty_lines(spark, sf).write.mode("append").partitionBy("ano_mes").text(f"{root}/estabelecimentos")
+    return _landed_once(spark, sf, "estabelecimentos", land)
+
+
+def _companies(spark: SparkSession, sf: str) -> str:
+    return _landed_once(spark, sf, "empresas", lambda root: landed.land_csv(company_rows(spark, sf), f"{root}/empresas"))
+
+
+def _read_establishments(spark: SparkSession, sf: str, **options) -> DataFrame:
+    return landed.read_registry(spark, f"{_establishments(spark, sf)}/estabelecimentos", "estabelecimentos",
+                                file_glob=LANDED_FILES, **options)
+
+
+def _read_companies(spark: SparkSession, sf: str) -> DataFrame:
+    return landed.read_registry(spark, f"{_companies(spark, sf)}/empresas", "empresas", file_glob=LANDED_FILES)
 
 
 def load_bronze_csv(spark, sf):
-    """S1/S4/S5/P1 + J10: landed CSV -> bronze frames -> assembled panel."""
-    root = _landed_registry(spark, sf)
-    est = landed.read_registry(spark, f"{root}/estabelecimentos", "estabelecimentos", file_glob="*.csv")
-    comp = landed.read_registry(spark, f"{root}/empresas", "empresas", file_glob="*.csv")
-    periods = landed.available_periods(spark, f"{root}/estabelecimentos")
-    est = est.join(F.broadcast(periods), "ano_mes", "left_semi")  # one row per period
-    return pn.assemble_panel(est, comp)
+    """S1/S4/P1 + J10: landed establishments and companies -> assembled panel."""
+    out = pn.assemble_panel(_read_establishments(spark, sf), _read_companies(spark, sf))
+    return out.withColumn("tempo_atividade_anos", F.round("tempo_atividade_anos", 6))
+
+
+def landed_periods(spark, sf):
+    """Periods that have a folder, of both registry types."""
+    parts = [landed.available_periods(spark, f"{root(spark, sf)}/{t}").withColumn("tipo", F.lit(t))
+             for t, root in (("estabelecimentos", _establishments), ("empresas", _companies))]
+    return sk.append_union(parts)
+
+
+def load_corrupt_rows(spark, sf):
+    """The raw text of rows with too few or too many fields."""
+    rows = _read_establishments(spark, sf, corrupt_column="texto")
+    return rows.where("texto is not null").select("ano_mes", "cnpj_basico", "cnpj_ordem", "texto")
+
+
+def _debts(spark: SparkSession, sf: str) -> str:
+    def land(root):
+        o = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                  "o_orderpriority")
+        tipo = (F.when(F.col("o_orderstatus") == "F", F.lit("FGTS"))
+                .when(F.col("o_orderstatus") == "O", F.lit("Previdenciario")).otherwise(F.lit("Nao_Previdenciario")))
+        rows = o.select(
+            F.format_string("%08d/0001-%02d", F.col("o_custkey"), F.col("o_custkey") % 97).alias("cpf_cnpj"),
+            F.lit("PJ").alias("tipo_pessoa"), F.lit("PRINCIPAL").alias("tipo_devedor"),
+            F.concat(F.lit("DEVEDOR "), F.col("o_custkey").cast("string")).alias("nome_devedor"),
+            F.lit("SP").alias("uf_devedor"), F.lit("PGFN").alias("unidade_responsavel"),
+            F.col("o_orderkey").cast("string").alias("numero_inscricao"),
+            F.lit("ATIVA").alias("tipo_situacao_inscricao"),
+            F.col("o_orderpriority").alias("situacao_inscricao"), F.lit("0000").alias("receita_principal"),
+            F.date_format("o_orderdate", "dd/MM/yyyy").alias("data_inscricao"),
+            F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("SIM")).otherwise(F.lit("NAO")).alias("indicador_ajuizado"),
+            F.when(F.col("o_orderkey") % 211 == 0, F.lit("n/d")).otherwise(
+                F.replace(F.format_string("%.2f", "o_totalprice"), F.lit("."), F.lit(","))).alias("valor_consolidado"),
+            F.year("o_orderdate").alias("ano"),
+            F.concat(F.quarter("o_orderdate").cast("string"), F.lit("trimestre")).alias("trimestre"), tipo.alias("tipo"))
+        landed.land_csv(rows, root, ["ano", "trimestre", "tipo"], encoding="UTF-8", header=True)
+    return _landed_once(spark, sf, "dividas", land)
 
 
 def load_debts(spark, sf):
     """Debt files of three types landed per year / quarter (from orders), read back
     with one glob per type; year and quarter recovered from the path."""
-    o = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-              "o_orderpriority")
-    tipo = (F.when(F.col("o_orderstatus") == "F", F.lit("FGTS"))
-            .when(F.col("o_orderstatus") == "O", F.lit("Previdenciario")).otherwise(F.lit("Nao_Previdenciario")))
-    rows = o.select(
-        F.format_string("%08d/0001-%02d", F.col("o_custkey"), F.col("o_custkey") % 97).alias("cpf_cnpj"),
-        F.lit("PJ").alias("tipo_pessoa"), F.lit("PRINCIPAL").alias("tipo_devedor"),
-        F.concat(F.lit("DEVEDOR "), F.col("o_custkey").cast("string")).alias("nome_devedor"),
-        F.lit("SP").alias("uf_devedor"), F.lit("PGFN").alias("unidade_responsavel"),
-        F.col("o_orderkey").cast("string").alias("numero_inscricao"), F.lit("ATIVA").alias("tipo_situacao_inscricao"),
-        F.col("o_orderpriority").alias("situacao_inscricao"), F.lit("0000").alias("receita_principal"),
-        F.date_format("o_orderdate", "dd/MM/yyyy").alias("data_inscricao"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("SIM")).otherwise(F.lit("NAO")).alias("indicador_ajuizado"),
-        F.replace(F.format_string("%.2f", "o_totalprice"), F.lit("."), F.lit(",")).alias("valor_consolidado"),
-        F.year("o_orderdate").alias("ano"), F.concat(F.quarter("o_orderdate").cast("string"), F.lit("trimestre"))
-        .alias("trimestre"), tipo.alias("tipo"))
-    root = _scratch(spark, "debts")
-    landed.land_csv(rows, root, ["ano", "trimestre", "tipo"], encoding="UTF-8", header=True)
+    root = _debts(spark, sf)
     return sk.append_union([landed.read_debts(spark, root, t) for t in DEBT_TYPES])
 
 
+def load_debt_rejects(spark, sf):
+    """Debts with an amount that is no number go to the reject table; the target has the rest."""
+    out, no = _scratch(spark, "dividas-boas"), _scratch(spark, "dividas-ruins")
+    rows = load_debts(spark, sf)
+    # the tables here are larger than one load of the source; the budget grows with the files
+    budget = BAD_ROW_BUDGET["debts"] * max(1, rows.select("ano", "trimestre", "tipo").distinct().count())
+    sk.load_with_rejects(rows, landed.bad_debt_rows(rows), out, no, budget)
+    read = [spark.read.parquet(path).groupBy("tipo", "ano", "trimestre").agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "destino", F.lit(name)) for path, name in ((out, "tabela"), (no, "rejeitos"))]
+    return sk.append_union(read)
+
+
+def _macro_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 + A9 + J1 + O2 + K5/K6: the eleven declared series, landed as JSON and loaded to a month-sorted silver table."""
+    def land(root):
+        li = table(spark, sf, "lineitem", "l_discount", "l_tax", "l_quantity", "l_extendedprice", "l_shipdate")
+        by_month = li.groupBy(F.trunc("l_shipdate", "MM").alias("data")).agg(
+            *[F.round(F.avg(c), 6).alias(f"avg_{c}") for c in ("l_discount", "l_tax", "l_quantity", "l_extendedprice")],
+            *[F.round(F.max(c), 6).alias(f"max_{c}") for c in ("l_discount", "l_tax", "l_quantity", "l_extendedprice")],
+            *[F.round(F.min(c), 6).alias(f"min_{c}") for c in ("l_quantity", "l_extendedprice")],
+            F.count(F.lit(1)).cast("double").alias("n"))
+        sources = [c for c in by_month.columns if c != "data"]
+        renamed = by_month.withColumnsRenamed(dict(zip(sources, MACRO_SERIES.values(), strict=True)))
+        long = renamed.unpivot(["data"], list(MACRO_SERIES.values()), "serie", "valor")
+        # a gap in one series, to be filled
+        long = long.where(~((F.col("serie") == "icei") & (F.month("data") == 7)))
+        path = series.land_series(long, f"{root}/series")
+        means = mc.series_means(series.read_series(spark, path), "serie", "data", "valor")
+        wide = mc.wide(means, list(MACRO_SERIES.values())).orderBy("ano_mes")
+        declared = schemas.macro_schema(list(MACRO_SERIES.values()))
+        wide = wide.select(*[F.col(f.name).cast(f.dataType) for f in declared.fields])
+        sk.write_bronze_silver(wide, f"{root}/bronze", f"{root}/silver")
+    return spark.read.parquet(f"{_landed_once(spark, sf, 'indicadores', land)}/silver")
+
+
+def macro_job(spark, sf):
+    """The eleven-series indicator job, from landed JSON to silver."""
+    out = _macro_silver(spark, sf)
+    return out.select("ano_mes", *[F.round(c, 6).alias(c) for c in MACRO_SERIES.values()])
+
+
+def assembled_panel(spark, sf):
+    """Establishments, companies, debts and indicators -> the 19 panel columns."""
+    out = pn.assemble_panel(_read_establishments(spark, sf), _read_companies(spark, sf), _macro_silver(spark, sf),
+                            load_debts(spark, sf))
+    doubles = [f.name for f in schemas.PANEL.fields if f.dataType.simpleString() == "double"]
+    return out.select(*[F.round(f.name, 2 if f.name.startswith("pgfn") else 6).alias(f.name) if f.name in doubles
+                        else F.col(f.name) for f in schemas.PANEL.fields])
+
+
 def load_panel_csv(spark, sf):
     """The panel exported as a headered CSV with a leading index column, read back
     with the declared panel schema (index dropped, absent columns NULL)."""
@@ -139,32 +249,48 @@ def load_tax_regime(spark, sf):
         F.lit("0").alias("cnpj_da_scp"), F.upper(F.replace(regime, F.lit("_"), F.lit(" "))).alias("forma_de_tributacao"),
         "quantidade_de_escrituracoes", regime.alias("regime"))
     root = _scratch(spark, "regimes")
-    landed.land_csv(rows, root, "regime", header=True, files_per_partition=1)
+    landed.land_csv(rows, root, "regime", header=True)
     return landed.read_tax_regime(spark, root)
 
 
 def load_period_overwrite(spark, sf):
-    """K1-K4 + U3: full load, then a period re-loaded with dynamic partition overwrite and
-    one appended from a union; the re-load leaves the table unchanged."""
-    root = _landed_registry(spark, sf)
-    bronze = landed.read_registry(spark, f"{root}/estabelecimentos", "estabelecimentos", file_glob="*.csv")
-    target = _scratch(spark, "bronze")
+    """K1-K4 + U3: a table is created, loaded in full, its last period loaded again (replacing only
+    that period), and read by its name."""
+    bronze = _read_establishments(spark, sf)
     name = f"tessera_bronze_{uuid.uuid4().hex[:12]}"
-    sk.create_table_if_absent(spark, name, bronze.schema, target, partition_by="ano_mes")
-    sk.write_table(bronze, target, "WRITE_TRUNCATE", partition_by="ano_mes")
-    last = landed.available_periods(spark, f"{root}/estabelecimentos").agg(F.max("ano_mes")).first()[0]
+    sk.create_table_if_absent(spark, name, bronze.schema, _scratch(spark, "bronze"), partition_by="ano_mes")
+    sk.load_table(bronze, name)
+    last = bronze.agg(F.max("ano_mes")).scalar()
     again = sk.append_union([bronze.where(F.col("ano_mes") == last)])
-    sk.write_table(again, target, "WRITE_TRUNCATE", partition_by="ano_mes", replace_partitions=True)
-    return spark.read.parquet(target)
+    return sk.load_table(again, name, replace_partitions=True)
 
 
 def load_status(spark, sf):
     """K7: rows, bad rows and status per period of a load."""
-    root = _landed_registry(spark, sf)
-    bronze = landed.read_registry(spark, f"{root}/estabelecimentos", "estabelecimentos", file_glob="*.csv")
+    bronze = _read_establishments(spark, sf)
     return sk.load_status(bronze, ["ano_mes"], landed.bad_registry_rows(bronze))
 
 
+def load_summary(spark, sf):
+    """K7: the load's summary line."""
+    return sk.load_summary(load_status(spark, sf))
+
+
+def load_rejects(spark, sf):
+    """Rows with a malformed key go to the reject table; the target has the rest."""
+    good, no = _scratch(spark, "boas"), _scratch(spark, "ruins")
+    bronze = _read_establishments(spark, sf)
+    months = bronze.select("ano_mes").distinct().count()  # the budget is that of one period's load
+    sk.load_with_rejects(bronze, landed.bad_registry_rows(bronze), good, no, BAD_ROW_BUDGET["registry"] * max(1, months),
+                         partition_by="ano_mes")
+    kept = spark.read.parquet(good).groupBy("ano_mes").agg(F.count(F.lit(1)).alias("rows"))
+    rejected = spark.read.parquet(no).groupBy("ano_mes").agg(
+        F.count(F.lit(1)).alias("bad_rows"), F.min("cnpj_basico").alias("first_bad"))
+    return kept.join(rejected, "ano_mes", "full").select(
+        F.col("ano_mes").cast("string").alias("ano_mes"), F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.coalesce("bad_rows", F.lit(0)).alias("bad_rows"), "first_bad")
+
+
 def json_series_load(spark, sf):
     """S7 + A9 + J1 + K5/K6: daily event means landed as JSON series, read back, pivoted,
     written as bronze and mean-filled silver."""
@@ -177,15 +303,16 @@ def json_series_load(spark, sf):
                             period="dia")
     wide = mc.wide(means, fr.EVENT_TYPES, period="dia")
     root = _scratch(spark, "macro")
-    return sk.write_bronze_silver(wide, f"{root}/bronze", f"{root}/silver", key="dia")
+    out = sk.write_bronze_silver(wide, f"{root}/bronze", f"{root}/silver", key="dia")
+    return out.select("dia", *[F.round(c, 6).alias(c) for c in fr.EVENT_TYPES])
 
 
-def unpack_archives(spark, sf):
-    """Landed CSV files zipped on the executors, then unpacked and CRC-checked."""
-    root = _landed_registry(spark, sf)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "*.csv").load(f"{root}/empresas")
-    return archives.unpack(archives.pack(files), base_names=True)
+def split_null_periods(spark, sf):
+    """D1 over a panel as it is curated: some periods are NULL, and keys are text."""
+    p = panel(spark, sf).select(
+        F.concat(F.lit("K"), F.col("cnpj").cast("string")).alias("cnpj"),
+        F.when(F.col("cnpj") % 10 != 0, F.col("ano_mes")).alias("ano_mes"))
+    return ds.temporal_split(p)
 
 
 def _features(spark, sf) -> DataFrame:
@@ -194,6 +321,7 @@ def _features(spark, sf) -> DataFrame:
 
 
 def _small_forest():
+    """A forest that fits in seconds; the operator's defaults are 200 trees of depth 15."""
     return md.forest(num_trees=10, max_depth=5, min_leaf=5)
 
 
@@ -205,7 +333,7 @@ def _train_test(spark, sf):
 
 def frequency_index(spark, sf):
     """E2 + E4: frequency-ordered index fitted on distinct combinations, as a mapping table."""
-    return md.frequency_index(panel(spark, sf), fr.ENCODED)
+    return ds.mapping_table(panel(spark, sf), fr.ENCODED, by_frequency=True)
 
 
 def forest_scores(spark, sf):
@@ -223,7 +351,7 @@ def boosted_scores(spark, sf):
 
 
 def feature_importance(spark, sf):
-    """Ranked importances of the forest and the sum per feature family."""
+    """Ranked importances of the forest."""
     train, _ = _train_test(spark, sf)
     model = md.fit(train, _small_forest())
     return ev.feature_importance(spark, md.feature_names(model), md.tree_model(model).featureImportances)
@@ -241,67 +369,73 @@ def score_month(spark, sf):
 
 def failure_model(spark, sf):
     """M7: "will close next period" model over entities that changed; company-ordered split."""
-    frame = fr.failure_frame(spark, sf).transform(fe.temporal_features)
+    frame = fr.failure_training(spark, sf)
     frame = frame.withColumn("vai_quebrar", F.col("vai_quebrar").cast("string"))
-    feats = ["tempo_atividade_anos", "capital_social", "situacao_cadastral", "num_mudancas_anteriores",
-             "meses_desde_ultima_mudanca", "taxa_mudanca_empresa", "mes", "uf", "cnae_fiscal_principal"]
     split = ds.entity_order_split(cut_lineage(frame))
-    model = md.fit(split.where(F.col("split") == "train"), _small_forest(), features=feats, label="vai_quebrar")
+    model = md.fit(split.where(F.col("split") == "train"), _small_forest(), features=FAILURE_FEATURES, label="vai_quebrar")
     return md.score(model, split.where(F.col("split") == "test"), label="vai_quebrar", keep=KEYS)
 
 
+def importance_by_family(spark, sf):
+    """Importance of the forest summed by (overlapping) feature family."""
+    train, _ = _train_test(spark, sf)
+    model = md.fit(train, _small_forest())
+    return ev.feature_importance(spark, md.feature_names(model), md.tree_model(model).featureImportances, FEATURE_FAMILIES)
+
+
 def incremental_files(spark, sf):
     """Ingest landed files exactly once (second run adds nothing)."""
-    root = _landed_registry(spark, sf)
+    root = _establishments(spark, sf)
     out, ckpt = _scratch(spark, "stream-out"), _scratch(spark, "stream-ckpt")
     for _ in range(2):
-        stream = incremental.registry_stream(spark, f"{root}/estabelecimentos", "estabelecimentos", file_glob="*.csv")
+        stream = incremental.registry_stream(spark, f"{root}/estabelecimentos", "estabelecimentos", file_glob=LANDED_FILES)
         incremental.ingest_available(stream, out, ckpt)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).withColumn("ano_mes", F.col("ano_mes").cast("string"))
+
+
+def _triggered(spark: SparkSession, sf: str) -> str:
+    """Loads run by trigger messages (from the data's types and latest period); good and bad messages."""
+    def run(root):
+        landing = f"{root}/landing"
+        landed.land_csv(establishment_rows(spark, sf), f"{landing}/estabelecimentos")
+        landed.land_csv(company_rows(spark, sf), f"{landing}/empresas")
+        latest = panel(spark, sf).agg(F.date_format(F.max("ano_mes"), "yyyy-MM").alias("p"))
+
+        def message(name, payload):
+            return F.struct(name.alias("id"), F.base64(payload.cast("binary")).alias("data"))
+
+        def body(**fields):
+            return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
+
+        text = F.lit
+        messages = latest.select(F.explode(F.array(
+            message(text("todos"), body(data_type=text("all"))),
+            message(text("empresas"), body(data_type=text("empresas"), mode=text("WRITE_TRUNCATE"))),
+            message(text("ultimo"), body(period=F.col("p"), data_type=text("estabelecimentos"), mode=text("WRITE_TRUNCATE"))),
+            message(text("sem-pasta"), body(period=text("1900-01"), data_type=text("empresas"))),
+            message(text("tipo-ruim"), body(data_type=text("socios"))),
+            message(text("modo-ruim"), body(mode=text("WRITE_SOMETIMES"))),
+            message(text("texto-ruim"), text("{not json")))).alias("m")).select("m.*")
+        messages.write.mode("overwrite").json(f"{root}/inbox")
+        triggered.run_triggered_loads(spark, f"{root}/inbox", landing, f"{root}/tables", f"{root}/status", f"{root}/ckpt")
+    return _landed_once(spark, sf, "gatilhos", run)
 
 
 def triggered_load(spark, sf):
-    """Trigger messages (derived from the data's types and latest period) -> period loads."""
-    root = _landed_registry(spark, sf)
-    inbox = _scratch(spark, "inbox")
-    latest = panel(spark, sf).agg(F.date_format(F.max("ano_mes"), "yyyy-MM").alias("p"))
-
-    def msg(payload):
-        return F.base64(F.to_json(payload).cast("binary"))
-    msgs = (latest.select(F.explode(F.array(
-        F.struct(F.lit("all-estabelecimentos").alias("id"),
-                 msg(F.struct(F.lit("estabelecimentos").alias("data_type")))
-                 .alias("data")),
-        F.struct(F.lit("all-empresas").alias("id"),
-                 msg(F.struct(F.lit("empresas").alias("data_type"), F.lit("WRITE_TRUNCATE").alias("mode")))
-                 .alias("data")),
-        F.struct(F.concat(F.lit("period-"), F.col("p")).alias("id"),
-                 msg(F.struct(F.col("p").alias("period"), F.lit("estabelecimentos").alias("data_type"),
-                              F.lit("WRITE_TRUNCATE").alias("mode"))).alias("data")))).alias("m"))
-            .select("m.*"))
-    msgs.write.mode("overwrite").json(inbox)
-    tables = _scratch(spark, "tables")
-    status = _scratch(spark, "status")
-    triggered.run_triggered_loads(spark, inbox, root, tables, status, _scratch(spark, "msg-ckpt"))
-    return spark.read.parquet(status)
-
-
-ROWS_ONLY = {
-    "load_bronze_csv": load_bronze_csv,
-    "load_debts": load_debts,
-    "load_panel_csv": load_panel_csv,
-    "load_tax_regime": load_tax_regime,
-    "load_period_overwrite": load_period_overwrite,
-    "load_status": load_status,
-    "json_series_load": json_series_load,
-    "unpack_archives": unpack_archives,
-    "frequency_index": frequency_index,
-    "forest_scores": forest_scores,
-    "boosted_scores": boosted_scores,
-    "feature_importance": feature_importance,
-    "score_month": score_month,
-    "failure_model": failure_model,
-    "incremental_files": incremental_files,
-    "triggered_load": triggered_load,
-}
+    """Both registry tables as the messages left them."""
+    tables = f"{_triggered(spark, sf)}/tables"
+    parts = [triggered.current(spark, tables, t).select(F.lit(t).alias("tipo"), F.col("ano_mes").cast("string").alias("ano_mes"),
+                                                        "cnpj_basico") for t in ("estabelecimentos", "empresas")]
+    return sk.append_union(parts)
+
+
+def message_status(spark, sf):
+    """The status row of every message."""
+    return spark.read.parquet(f"{_triggered(spark, sf)}/status").select("id", "mode", "status", "rows")
+
 
+ROWS_ONLY = {f.__name__: f for f in (
+    load_bronze_csv, landed_periods, load_corrupt_rows, load_debts, load_debt_rejects, macro_job, assembled_panel, load_panel_csv,
+    load_tax_regime, load_period_overwrite, load_status, load_summary, load_rejects, json_series_load, split_null_periods,
+    frequency_index, forest_scores, boosted_scores, feature_importance, importance_by_family, score_month, failure_model, incremental_files,
+    triggered_load, message_status)}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,15 +47,19 @@ def build_session(master: str | None = None, app: str = "tessera", shuffle_parti
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session.  Only when it is unset (local tests)
-    is a fresh private folder created and registered.
+    The setting is read from the session.  Only when it is unset, and on a ``local``
+    master alone, is a fresh private folder created, registered and removed at exit;
+    a cluster without the setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    local = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="tessera-ckpt-")  # one machine, as in tests
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

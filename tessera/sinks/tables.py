@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..constants import BAD_ROW_BUDGET
 from ..operators.clean import fill_mean
+from ..session import cut_lineage
 
 MODES = {"WRITE_TRUNCATE": "overwrite", "WRITE_APPEND": "append", "overwrite": "overwrite", "append": "append"}
 
@@ -20,14 +22,14 @@ def write_table(df: DataFrame, path: str, mode: str = "WRITE_TRUNCATE", partitio
                 replace_partitions: bool = False) -> None:
     """K1/K2/K3: write with a truncate or append disposition.
 
-    ``replace_partitions`` overwrites only the partitions present in ``df``
-    (dynamic partition overwrite), so re-loading a period is idempotent.
+    ``replace_partitions`` overwrites only the partitions present in ``df``, so
+    re-loading a period is idempotent; without it a truncate drops every old
+    partition.  Both are said to the writer, so a session setting decides neither.
     """
-    w = df.write.mode(MODES[mode]).format("parquet")
+    w = df.write.mode(MODES[mode]).format("parquet").option(
+        "partitionOverwriteMode", "dynamic" if replace_partitions else "static")
     if partition_by:
         w = w.partitionBy(partition_by)
-    if replace_partitions:
-        w = w.option("partitionOverwriteMode", "dynamic")
     w.save(path)
 
 
@@ -39,6 +41,18 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part} LOCATION '{location}'")
 
 
+def load_table(df: DataFrame, name: str, mode: str = "WRITE_TRUNCATE", replace_partitions: bool = False) -> DataFrame:
+    """K1-K4 on a table known by name: rows are inserted through the catalog, which
+    registers their partitions, and the table is returned as it reads after the load."""
+    spark = df.sparkSession
+    target = spark.table(name)
+    w = df.select(*target.columns).write.option(
+        "partitionOverwriteMode", "dynamic" if replace_partitions else "static")
+    w.insertInto(name, overwrite=MODES[mode] == "overwrite")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def split_required(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """K5: rows with every REQUIRED column present, and the rejected rest."""
     ok = F.lit(True)
@@ -47,20 +61,43 @@ def split_required(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataF
     return df.where(ok), df.where(~ok)
 
 
+class LoadRejected(RuntimeError):
+    """A load had more bad rows than its budget."""
+
+
+def load_with_rejects(df: DataFrame, bad: F.Column, target: str, rejects: str, max_bad: int,
+                      mode: str = "WRITE_TRUNCATE", partition_by: str | None = None,
+                      replace_partitions: bool = False) -> dict[str, int]:
+    """Write good rows to ``target`` and bad ones to ``rejects``; both are counted.
+
+    The source is read once: rows are marked, checkpointed, counted and then divided.
+    More than ``max_bad`` bad rows stop the load before the target is touched (the
+    rejects are written, so they can be looked at).
+    """
+    marked = cut_lineage(df.withColumn("_bad", F.coalesce(bad, F.lit(True))))
+    n, n_bad = marked.agg(F.count(F.lit(1)), F.count_if("_bad")).first()
+    write_table(marked.where("_bad").drop("_bad"), rejects, mode, partition_by, replace_partitions)
+    if n_bad > max_bad:
+        raise LoadRejected(f"{n_bad} bad rows of {n}; the load allows {max_bad}")
+    write_table(marked.where("not _bad").drop("_bad"), target, mode, partition_by, replace_partitions)
+    return {"rows": n - n_bad, "bad_rows": n_bad}
+
+
 def write_bronze_silver(df: DataFrame, bronze: str, silver: str, key: str = "ano_mes",
-                        mode: str = "WRITE_TRUNCATE") -> DataFrame:
+                        mode: str = "WRITE_TRUNCATE", rejects: str | None = None) -> DataFrame:
     """K5 + K6: bronze = the frame as collected (REQUIRED key enforced); silver = NULLs
     filled with each column's mean.  The bronze table is written once and silver is
-    derived from what was written, so the source is computed only once."""
-    good, _ = split_required(df, [key])
-    write_table(good, bronze, mode)
+    derived from what was written, so the source is computed only once.  Rows without
+    the key go to ``rejects`` (by default beside the bronze table)."""
+    load_with_rejects(df, F.col(key).isNull(), bronze, rejects or f"{bronze.rstrip('/')}-rejects", 1 << 62, mode)
     written = df.sparkSession.read.parquet(bronze)
     silver_df = fill_mean(written, [c for c in written.columns if c != key])
     write_table(silver_df, silver, mode)
     return df.sparkSession.read.parquet(silver)
 
 
-def load_status(loaded: DataFrame, unit_cols: list[str], bad: F.Column, max_bad: int = 10_000) -> DataFrame:
+def load_status(loaded: DataFrame, unit_cols: list[str], bad: F.Column, max_bad: int = BAD_ROW_BUDGET["registry"]
+                ) -> DataFrame:
     """K7: per load unit (e.g. period x type): rows, bad rows, status; one aggregate pass.
 
     ``success`` when no bad rows, ``partial`` when within the bad-row budget, else ``failed``.
@@ -73,6 +110,7 @@ def load_status(loaded: DataFrame, unit_cols: list[str], bad: F.Column, max_bad:
 def load_summary(status: DataFrame) -> DataFrame:
     """K7: table summary: units, rows, units per status."""
     return status.agg(F.count(F.lit(1)).alias("units"), F.sum("rows").alias("rows"),
+                      F.sum("bad_rows").alias("bad_rows"),
                       F.count_if(F.col("status") == "success").alias("success"),
                       F.count_if(F.col("status") == "partial").alias("partial"),
                       F.count_if(F.col("status") == "failed").alias("failed"))

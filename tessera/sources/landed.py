@@ -25,22 +25,27 @@ def _glob(base: str, periods: list[str] | None) -> str:
     base = base.rstrip("/")
     if not periods:
         return f"{base}/*"
-    return f"{base}/{{{','.join(periods)}}}" if len(periods) > 1 else f"{base}/{periods[0]}"
+    return f"{base}/{{{','.join(f'{p},ano_mes={p}' for p in periods)}}}"
 
 
 def read_registry(spark: SparkSession, base: str, data_type: str, periods: list[str] | None = None,
-                  file_glob: str | None = None, encoding: str = "ISO-8859-1") -> DataFrame:
+                  file_glob: str | None = None, encoding: str = "ISO-8859-1",
+                  corrupt_column: str | None = None) -> DataFrame:
     """Headerless ``;`` CSV, ISO-8859-1, quoted newlines and doubled quotes,
     all columns STRING; ``ano_mes`` from the folder of each file.
 
     Short rows read as NULL-padded and extra fields are ignored (jagged rows are
-    accepted, as the source loader does); ``periods`` prunes by path.
+    accepted, as the source loader does); ``corrupt_column`` names a column that keeps
+    the raw text of such rows (NULL for the others); ``periods`` prunes by path.
     """
     schema, default_glob = REGISTRY[data_type]
+    if corrupt_column:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
     df = (spark.read.schema(schema)
           .option("sep", ";").option("header", "false").option("encoding", encoding)
           .option("multiLine", "true").option("quote", '"').option("escape", '"')
           .option("mode", "PERMISSIVE").option("pathGlobFilter", file_glob or default_glob)
+          .option("columnNameOfCorruptRecord", corrupt_column or "_corrupt_record")
           .csv(_glob(base, periods)))
     return df.withColumn("ano_mes", period_of_path(file_path()))
 
@@ -50,6 +55,12 @@ def bad_registry_rows(df: DataFrame) -> F.Column:
     return ~F.coalesce(F.col("cnpj_basico").rlike(r"^\d{8}$"), F.lit(False))
 
 
+def bad_debt_rows(df: DataFrame) -> F.Column:
+    """A debt row the load counts as bad: no debtor number, or an amount that is not a number."""
+    amount = F.regexp_replace("valor_consolidado", ",", ".").try_cast("double")
+    return (F.regexp_replace("cpf_cnpj", r"\D", "") == "") | F.col("cpf_cnpj").isNull() | amount.isNull()
+
+
 def _either(name: str, key: str | None) -> str:
     """Glob matching a folder named ``name`` or ``<key>=<name>`` (Spark's partition layout)."""
     return f"{{{name},{key}={name}}}" if key else name
@@ -81,11 +92,11 @@ def read_debts(spark: SparkSession, base: str, data_type: str, years: list[int]
     })
 
 
-def available_periods(spark: SparkSession, base: str) -> DataFrame:
-    """Distinct ``yyyy-MM`` periods present under ``base`` (listing only: the
+def available_periods(spark: SparkSession, base: str, file_glob: str = "*") -> DataFrame:
+    """Distinct ``yyyy-MM`` periods with a matching file under ``base`` (listing only: the
     ``binaryFile`` source reads no file content when only ``path`` is selected)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base.rstrip("/"))
-             .select("path"))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", file_glob).load(base.rstrip("/")).select("path"))
     return (files.select(period_of_path(F.col("path")).alias("ano_mes")).where(F.col("ano_mes").isNotNull())
             .distinct().orderBy("ano_mes"))
 
@@ -95,7 +106,8 @@ def read_panel_csv(spark: SparkSession, path: str, schema: T.StructType = schema
     """Headered panel CSV.  Columns are matched by name and cast to the declared
     types (lenient: unparsable -> NULL); a leading index column is dropped; declared
     columns absent from the file come back as NULL.  Codes stay strings (no leading-zero loss)."""
-    raw = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
+    # no quoted newline stands in a panel file, so files are split among tasks
+    raw = spark.read.option("header", "true").option("escape", '"').csv(path)
     raw = raw.drop(*[c for c in index_columns if c in raw.columns])
     cols = []
     for f in schema.fields:
@@ -114,20 +126,20 @@ def read_tax_regime(spark: SparkSession, base: str, sep: str = ";", encoding: st
 
 
 def land_csv(df: DataFrame, path: str, partition_by: str | list[str] | None = "ano_mes",
-             encoding: str = "ISO-8859-1", header: bool = False, files_per_partition: int = 2,
-             salt_key: str | None = None, sep: str = ";") -> str:
+             encoding: str = "ISO-8859-1", header: bool = False, sep: str = ";",
+             rows_per_file: int = 500_000) -> str:
     """Write a frame in the landed-file dialect (``;``, quoted, chosen encoding).
 
-    Rows are grouped by (partition value, salt) so each period lands as
-    ``files_per_partition`` files; the salt (a hash of ``salt_key`` or of the
-    whole row) keeps a hot period spread over several writer tasks.
+    Rows are rebalanced by partition value, which lets AQE split a hot period over
+    several writer tasks and join small ones; ``rows_per_file`` bounds a file, so files
+    that cannot be split on reading stay small.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if parts:
-        salt_src = F.col(salt_key) if salt_key else F.struct(*[F.col(c) for c in df.columns])
-        df = df.repartition(*[F.col(c) for c in parts], F.pmod(F.hash(salt_src), F.lit(files_per_partition)))
+        df = df.hint("rebalance", *[F.col(c) for c in parts])
     w = (df.write.mode("overwrite").option("sep", sep).option("header", str(header).lower())
-         .option("encoding", encoding).option("quoteAll", "false").option("escape", '"'))
+         .option("encoding", encoding).option("quoteAll", "false").option("escape", '"')
+         .option("maxRecordsPerFile", rows_per_file))
     if parts:
         w = w.partitionBy(*parts)
     w.csv(path)

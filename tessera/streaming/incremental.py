@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.paths import period_of_path
 from ..sources.landed import REGISTRY
@@ -27,18 +26,25 @@ def registry_stream(spark: SparkSession, source_dir: str, data_type: str, file_g
             .option("multiLine", "true").option("escape", '"').option("mode", "PERMISSIVE")
             .option("pathGlobFilter", file_glob or default_glob).option("recursiveFileLookup", "true")
             .option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("maxFileAge", "3650d")  # a late file with an old time stamp is still new to us
             .load(source_dir)
             .withColumn("ano_mes", period_of_path(F.col("_metadata.file_path"))))
 
 
 def ingest_available(stream: DataFrame, target: str, checkpoint: str, partition_by: str = "ano_mes") -> int:
-    """Run the stream over every file not yet committed, then stop; returns rows written."""
+    """Run the stream over every file not yet committed, then stop; returns the rows the
+    target gained, counted in the target itself (a progress report keeps recent batches only)."""
+    spark = stream.sparkSession
+    before = _rows(spark, target)
     q = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .partitionBy(partition_by).outputMode("append").trigger(availableNow=True).start(target))
     q.awaitTermination()
-    progress = q.recentProgress
-    return int(sum(p.get("numInputRows", 0) for p in progress)) if progress else 0
+    return _rows(spark, target) - before
 
 
-def read_target(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
-    return spark.read.schema(schema).parquet(target) if schema else spark.read.parquet(target)
+def _rows(spark: SparkSession, target: str) -> int:
+    """Rows of a Parquet target (from file footers); 0 where it does not exist yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return 0
+    return spark.read.parquet(target).count()

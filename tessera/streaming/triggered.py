@@ -1,11 +1,15 @@
-"""Load one period / type per trigger message.
-
-Messages (``id``, base64 ``data``) land as JSON-lines files; a stream decodes
-them (F17), validates them (F18) and, per micro-batch, runs the requested
-partition loads (K3).  The messages of one micro-batch are control data - a
-handful of rows - so ``foreachBatch`` reads them on the driver to launch the
-loads; the loads themselves are ordinary distributed reads and writes.
-Every message gets a status row in an append-only status table.
+"""Load registry periods named by trigger messages.
+
+Messages (``id``, base64 ``data``) land as JSON-lines files; a stream decodes (F17)
+and validates them (F18).  A micro-batch is reduced to the distinct periods it asks
+for of each registry type, those are matched with the folders that are there, and each
+type gets one read and one write, however many messages asked.
+
+Every load goes to its own partition (period, ``lote`` = micro-batch id, ``substitui``),
+overwritten as a whole.  A micro-batch that is retried after a crash writes the same
+partitions again, so nothing is added twice, and the rows of a load are counted in its
+own partitions.  ``current`` reads a table as the loads left it: of a period, the last
+truncating load and what came after.
 """
 
 from __future__ import annotations
@@ -13,12 +17,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import REGISTRY_DATA_TYPES
+from ..constants import ALL_TYPES, REGISTRY_DATA_TYPES
 from ..functions.messages import decode_message, message_status
+from ..session import cut_lineage
 from ..sinks.tables import write_table
-from ..sources.landed import read_registry
+from ..sources.landed import available_periods, read_registry
 
 MESSAGE_FILE_SCHEMA = "id string, data string"
+_LOAD_KEYS = ["ano_mes", "lote", "substitui"]
 
 
 def message_stream(spark: SparkSession, inbox: str) -> DataFrame:
@@ -27,55 +33,70 @@ def message_stream(spark: SparkSession, inbox: str) -> DataFrame:
     return msg.select("id", "m.*", message_status(F.col("m")).alias("status"))
 
 
-def _load(spark: SparkSession, landing: str, tables: str, period: str | None, data_type: str | None,
-          mode: str) -> int:
-    types = [data_type] if data_type else REGISTRY_DATA_TYPES
-    rows = 0
-    for t in types:  # at most the two registry types
-        df = read_registry(spark, f"{landing}/{t}", t, [period] if period else None, file_glob="*.csv")
-        write_table(df, f"{tables}/{t}", mode, partition_by="ano_mes", replace_partitions=(mode == "WRITE_TRUNCATE"))
-        rows += spark.read.parquet(f"{tables}/{t}").where(
-            F.col("ano_mes") == period if period else F.lit(True)).count()
-    return rows
+def _wanted(messages: DataFrame) -> DataFrame:
+    """One row per valid message and registry type it asks for."""
+    every = F.col("data_type").isNull() | (F.col("data_type") == ALL_TYPES)
+    types = F.when(every, F.array(*[F.lit(t) for t in REGISTRY_DATA_TYPES])).otherwise(F.array("data_type"))
+    return messages.where("status = 'ok'").select(
+        "id", F.explode(types).alias("tipo"), "period", (F.col("mode") == "WRITE_TRUNCATE").alias("substitui"))
 
 
-def _done(spark: SparkSession, status_table: str, batch_id: int) -> dict[str, int | None]:
-    """Messages of this micro-batch that an earlier attempt already loaded (id -> rows)."""
-    try:
-        prior = spark.read.parquet(status_table).where((F.col("batch_id") == batch_id) & (F.col("status") == "ok"))
-        return {r.id: r.rows for r in prior.select("id", "rows").collect()}  # one micro-batch's messages
-    except Exception:  # noqa: BLE001 - no status table yet
-        return {}
+def _periods_to_load(spark: SparkSession, landing: str, wanted: DataFrame, data_type: str,
+                     file_glob: str) -> dict[str, bool]:
+    """Period folders of a type that are asked for, and whether the load replaces the period (at most one
+    entry per month)."""
+    own = wanted.where(F.col("tipo") == data_type)
+    listed = available_periods(spark, f"{landing}/{data_type}", file_glob)
+    for_all = own.where("period is null").agg(F.max("substitui").alias("s")).first()["s"]
+    named = own.where("period is not null").groupBy("period").agg(F.max("substitui").alias("s"))
+    found = listed.join(named, F.col("ano_mes") == F.col("period"), "left")
+    return {r["ano_mes"]: bool(r["s"]) or bool(for_all) for r in found.collect()
+            if r["s"] is not None or for_all is not None}
 
 
-def handle_batch(landing: str, tables: str, status_table: str):
-    """Per micro-batch: run the requested loads and record one status row per message.
+def _loaded(spark: SparkSession, tables: str, data_type: str, batch_id: int, schema) -> DataFrame:
+    own = spark.read.schema(schema).parquet(f"{tables}/{data_type}").where(F.col("lote") == batch_id)
+    return own.groupBy("ano_mes").agg(F.count(F.lit(1)).alias("n")).withColumn("tipo", F.lit(data_type))
 
-    Retry-safe: a re-run of the same ``batch_id`` (after a failure) skips messages
-    whose load already succeeded, and the status rows are written with dynamic
-    partition overwrite on ``batch_id``, so a retry replaces instead of duplicating.
+
+def handle_batch(landing: str, tables: str, status_table: str, file_glob: str = "*.csv"):
+    """Per micro-batch: one load per registry type asked for, and a status row per message.
+
+    ``rows`` of a message are the rows of the periods it asked for, as loaded in this
+    micro-batch; a valid message that matches no folder gets ``no_files``.
     """
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = _done(spark, status_table, batch_id)
-        out = []
-        for m in batch.collect():  # control messages of one micro-batch
-            rows = done.get(m.id)
-            status = m.status
-            if status == "ok" and m.id not in done:
-                try:
-                    rows = _load(spark, landing, tables, m.period, m.data_type, m.mode)
-                except Exception as e:  # noqa: BLE001 - the message fails, the stream goes on
-                    status = f"error: {type(e).__name__}"
-            out.append((m.id, m.period, m.data_type, m.mode, status, rows, batch_id))
-        if out:
-            (spark.createDataFrame(out, "id string, period string, data_type string, mode string, status string, "
-                                        "rows long, batch_id long")
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-             .parquet(status_table))
+        messages = cut_lineage(batch)
+        wanted = _wanted(messages)
+        counts = spark.createDataFrame([], "ano_mes string, n long, tipo string")
+        for data_type in REGISTRY_DATA_TYPES:  # the two registry types
+            todo = _periods_to_load(spark, landing, wanted, data_type, file_glob)
+            if not todo:
+                continue
+            replaces = F.col("ano_mes").isin([p for p, s in todo.items() if s])
+            rows = read_registry(spark, f"{landing}/{data_type}", data_type, sorted(todo), file_glob).withColumns(
+                {"lote": F.lit(batch_id).cast("long"), "substitui": replaces.cast("int")})
+            write_table(rows, f"{tables}/{data_type}", partition_by=_LOAD_KEYS, replace_partitions=True)
+            counts = counts.unionByName(_loaded(spark, tables, data_type, batch_id, rows.schema))
+        per = wanted.join(counts, "tipo").where(F.col("period").isNull() | (F.col("period") == F.col("ano_mes")))
+        rows = per.groupBy("id").agg(F.sum("n").alias("rows"))
+        out = messages.join(rows, "id", "left").withColumns({
+            "rows": F.coalesce("rows", F.lit(0)), "batch_id": F.lit(batch_id).cast("long"),
+            "status": F.when((F.col("status") == "ok") & F.col("rows").isNull(), F.lit("no_files")).otherwise(F.col("status"))})
+        write_table(out.select("id", "period", "data_type", "mode", "status", "rows", "batch_id"), status_table,
+                    partition_by="batch_id", replace_partitions=True)
     return fn
 
 
+def current(spark: SparkSession, tables: str, data_type: str) -> DataFrame:
+    """A registry table as its loads left it: per period, from the last replacing load on."""
+    rows = spark.read.parquet(f"{tables}/{data_type}")
+    since = rows.where("substitui = 1").groupBy("ano_mes").agg(F.max("lote").alias("_desde"))
+    kept = rows.join(since, "ano_mes", "left").where(F.col("lote") >= F.coalesce("_desde", "lote"))
+    return kept.drop("lote", "substitui", "_desde")
+
+
 def run_triggered_loads(spark: SparkSession, inbox: str, landing: str, tables: str, status_table: str,
                         checkpoint: str) -> DataFrame:
     """Process every pending message once; returns the status table."""

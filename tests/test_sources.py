@@ -6,6 +6,8 @@ import json
 import os
 import zipfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessera.functions.messages import decode_message, message_status
@@ -196,18 +198,94 @@ def test_triggered_loads(spark, tmp_dir):
                                            f"{tmp_dir}/status", f"{tmp_dir}/ckpt")
     got = {r.id: r for r in status.collect()}
     assert got["a"].status == "ok" and got["c"].status == "bad_data_type"
-    assert spark.read.parquet(f"{tmp_dir}/tables/empresas").count() == 2   # period re-load replaced, not added
+    assert got["a"].rows == 2 and got["b"].rows == 1                     # the rows each asked for
+    assert triggered.current(spark, f"{tmp_dir}/tables", "empresas").count() == 2   # loaded once
 
 
-def test_triggered_batch_retry_is_idempotent(spark, tmp_dir):
-    landing = f"{tmp_dir}/landing"
-    for p in ("2024-01", "2024-02"):
+def _messages(spark, *bodies):
+    rows = [(f"m{k}", base64.b64encode(b.encode()).decode()) for k, b in enumerate(bodies)]
+    decoded = spark.createDataFrame(rows, "id string, data string").withColumn("m", decode_message("data"))
+    return decoded.select("id", "m.*", message_status(F.col("m")).alias("status"))
+
+
+def _companies(landing, *periods):
+    for p in periods:
         _write(f"{landing}/empresas/{p}/x.csv", '"00012345";"ACME";"2062";"49";"1000,00";"01";""\n')
-    data = base64.b64encode(b'{"data_type":"empresas","mode":"WRITE_APPEND"}').decode()
-    batch = (spark.createDataFrame([("m1", data)], "id string, data string").withColumn("m", decode_message("data"))
-             .select("id", "m.*", message_status(F.col("m")).alias("status")))
-    handler = triggered.handle_batch(landing, f"{tmp_dir}/tables", f"{tmp_dir}/status")
+
+
+def test_triggered_batch_retry_after_a_crash_adds_nothing(spark, tmp_dir, monkeypatch):
+    _companies(f"{tmp_dir}/landing", "2024-01", "2024-02")
+    batch = _messages(spark, '{"data_type":"empresas","mode":"WRITE_APPEND"}', '{"data_type":"all","period":"2024-02"}')
+    handler = triggered.handle_batch(f"{tmp_dir}/landing", f"{tmp_dir}/tables", f"{tmp_dir}/status")
+    write = triggered.write_table
+
+    def crash(df, path, **kw):
+        if path.endswith("status"):
+            raise OSError("lost")
+        write(df, path, **kw)
+    _establishments(f"{tmp_dir}/landing/estabelecimentos")
+    monkeypatch.setattr(triggered, "write_table", crash)
+    with pytest.raises(OSError):
+        handler(batch, 7)
+    monkeypatch.setattr(triggered, "write_table", write)
+    handler(batch, 7)
     handler(batch, 7)
-    handler(batch, 7)   # the same micro-batch retried after a failure
-    assert spark.read.parquet(f"{tmp_dir}/status").count() == 1
-    assert spark.read.parquet(f"{tmp_dir}/tables/empresas").count() == 2   # appended once, not twice
+    got = {r.id: r.rows for r in spark.read.parquet(f"{tmp_dir}/status").collect()}
+    assert got["m0"] == 2
+    assert triggered.current(spark, f"{tmp_dir}/tables", "empresas").count() == 2
+
+
+def test_a_replacing_load_drops_what_came_before(spark, tmp_dir):
+    _companies(f"{tmp_dir}/landing", "2024-01", "2024-02")
+    _establishments(f"{tmp_dir}/landing/estabelecimentos")
+    handler = triggered.handle_batch(f"{tmp_dir}/landing", f"{tmp_dir}/tables", f"{tmp_dir}/status")
+    append, replace = '{"data_type":"empresas"}', '{"data_type":"empresas","period":"2024-02","mode":"WRITE_TRUNCATE"}'
+
+    def periods():
+        rows = triggered.current(spark, f"{tmp_dir}/tables", "empresas").groupBy("ano_mes").count().collect()
+        return {r["ano_mes"]: r["count"] for r in rows}
+    for batch_id, (body, want) in enumerate([(append, (1, 1)), (append, (2, 2)), (replace, (2, 1)), (append, (3, 2))]):
+        handler(_messages(spark, body), batch_id)
+        assert periods() == dict(zip(("2024-01", "2024-02"), want, strict=True))
+
+
+def test_truncate_does_not_depend_on_the_session(spark, tmp_dir):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "p string, n int")
+    for mode in ("static", "dynamic"):
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        tables.write_table(rows, f"{tmp_dir}/{mode}", partition_by="p")
+        tables.write_table(rows.where("p = 'b'"), f"{tmp_dir}/{mode}", partition_by="p", replace_partitions=True)
+        assert spark.read.parquet(f"{tmp_dir}/{mode}").count() == 2
+        tables.write_table(rows.where("p = 'b'"), f"{tmp_dir}/{mode}", partition_by="p")
+        assert spark.read.parquet(f"{tmp_dir}/{mode}").count() == 1   # the stale partition is gone
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+def test_a_load_over_its_budget_is_rejected(spark, tmp_dir):
+    rows = spark.createDataFrame([("1", 1), (None, 2), (None, 3)], "k string, n int")
+    bad = F.col("k").isNull()
+    with pytest.raises(tables.LoadRejected):
+        tables.load_with_rejects(rows, bad, f"{tmp_dir}/t", f"{tmp_dir}/r", 1)
+    assert not os.path.exists(f"{tmp_dir}/t") and spark.read.parquet(f"{tmp_dir}/r").count() == 2
+    assert tables.load_with_rejects(rows, bad, f"{tmp_dir}/t", f"{tmp_dir}/r", 2) == {"rows": 1, "bad_rows": 2}
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 1
+
+
+def test_all_is_a_data_type(spark):
+    got = {r.id: r.status for r in _messages(spark, '{"data_type":"all"}', '{"data_type":"ALL"}', '{"data_type":"x"}').collect()}
+    assert got == {"m0": "ok", "m1": "ok", "m2": "bad_data_type"}
+
+
+def test_debts_count_from_months_without_a_panel_row(spark):
+    from tessera.operators import panel as pn
+    p = spark.createDataFrame([("1", "2020-02-01"), ("1", "2020-05-01"), ("2", "2020-05-01")],
+                              "cnpj string, d string").select("cnpj", F.to_date("d").alias("ano_mes"))
+    debts = spark.createDataFrame([("1/", 2019, 4, "FGTS", "100", "SIM"), ("1", 2020, 1, "FGTS", "50,5", "NAO"),
+                                   ("1", 2020, 1, "Previdenciario", "7", "SIM"), ("1", 2021, 1, "FGTS", "9", "SIM"),
+                                   ("", 2019, 1, "FGTS", "9", "SIM"), ("1", 2019, 1, "Outro", "9", "SIM")],
+                                  "cpf_cnpj string, ano int, trimestre int, tipo string, valor_consolidado string, "
+                                  "indicador_ajuizado string")
+    out = pn.accumulate_debts(p, pn.debt_movements(debts)).orderBy("cnpj", "ano_mes").collect()
+    assert [r.pgfn_fgts_valor_acumulado_t_minus_1 for r in out] == [100.0, 150.5, 0.0]
+    assert [r.pgfn_prev_valor_acumulado_t_minus_1 for r in out] == [0.0, 7.0, 0.0]
+    assert [r.pgfn_fgts_ajuizados_t_minus_1 for r in out] == [1.0, 1.0, 0.0]

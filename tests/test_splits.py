@@ -45,3 +45,22 @@ def test_temporal_split_property(spark, keys):
     out = dataset.ordered_split(_frame(spark, sorted(keys)), ["ano_mes", "cnpj"], sub_buckets=4).collect()
     assert len(out) == len(keys)
     _check(out, lambda r: (r.ano_mes, r.cnpj), (0.7, 0.9), ("train", "val", "test"))
+
+
+def test_null_periods_and_text_keys_are_labelled(spark):
+    rows = [(f"K{k}" if k % 7 else None, k % 5 if k % 10 else None) for k in range(100)]
+    df = spark.createDataFrame(rows, "cnpj string, ano_mes int")
+    for level in ("value", "range"):
+        order = ["ano_mes", "cnpj"] if level == "value" else ["cnpj", "ano_mes"]
+        out = dataset.ordered_split(df, order, level1=level, buckets=8, sub_buckets=4, sub_key=order[1]).collect()
+        at = [0 if c == "ano_mes" else 1 for c in order]
+        ranked = sorted(out, key=lambda r: tuple((v is not None, v if v is not None else "") for v in (
+            (r.ano_mes, r.cnpj) if level == "value" else (r.cnpj, r.ano_mes))))
+        assert len(out) == 100 and at
+        assert [r.split for r in ranked] == ["train"] * 70 + ["val"] * 20 + ["test"] * 10
+
+
+def test_mapping_table_ranks_over_ranges(spark):
+    df = spark.createDataFrame([(f"v{k % 40:02d}", str(k % 3)) for k in range(400)] + [(None, "0")], "a string, b string")
+    got = {(r.column_name, r.value): r.code for r in dataset.mapping_table(df, ["a", "b"], groups=6).collect()}
+    assert got == {**{("a", f"v{k:02d}"): k for k in range(40)}, **{("b", str(k)): k for k in range(3)}}

@@ -146,13 +146,3 @@ def test_confusion_cells_sum_to_rows(spark):
     assert m.accuracy == 0.6
     rep = {r.label: r for r in evaluate.class_report(cm).collect()}
     assert rep["2"].precision == 0.5 and rep["2"].recall == 0.5 and rep["macro avg"].support == 5
-
-
-def test_bounded_broadcast_respects_bound(spark):
-    from tessera.operators.joins import bounded_broadcast
-
-    def hinted(df):
-        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
-    small = spark.range(10)
-    assert hinted(bounded_broadcast(small, max_rows=100))
-    assert not hinted(bounded_broadcast(small, max_rows=5))      # over the bound: plain (shuffle) join side
