@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import decontam, langid, line_dedup, lm_score, ordinal, packing, quality_rules, simhash, substring, toxicity
 from .common import documents, table
+from .oracle import ORACLE  # noqa: F401 - read with QUERIES
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,3 @@ def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_lattice_lm, op3_language_crf, op4_simhash_near_dedup, op5_substring_dedup,
     op6_ordinal_quality, op7_benchmark_decontamination, op8_fuzzy_line_dedup, op9_quality_rules, op10_toxicity_grammar)}
-
-#: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
