@@ -61,15 +61,16 @@ def _grow(key: np.ndarray, node: np.ndarray, home: np.ndarray, match: Match):
     return a, b
 
 
-def _linker(match: Match, hot: int) -> Callable:
+def _linker(match: Match, hot: int, group: str) -> Callable:
+    """Links within runs of equal ``group``; rows are sorted by it."""
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(kind, k, a, b, h):
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(a), kind, dtype=np.int8)), pa.array(k), pa.array(a.view(np.int64)),
                  pa.array(b.view(np.int64)), pa.array(h)], ["kind", "key", "a", "b", "home"])
 
-        def solve(k, n, h):
-            bounds = group_bounds(k)
+        def solve(g_of, k, n, h):
+            bounds = group_bounds(g_of)
             size = np.diff(bounds)
             a, b = ([x] for x in _pairs(k, n, h, bounds, match))
             for g in np.flatnonzero(size > 2):
@@ -82,33 +83,37 @@ def _linker(match: Match, hot: int) -> Callable:
             no = np.zeros(len(a), dtype=bool)
             return out(0, np.zeros(len(a), dtype=np.int64), a, b, no)
 
-        held = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
-        passing = None  # the key whose group is too large to hold
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
+        passing = None  # the group that is too large to hold
         for batch in batches:
-            new = (np.asarray(batch.column("key")), np.asarray(batch.column("node")).view(np.uint64),
+            new = (np.asarray(batch.column(group)), np.asarray(batch.column("key")),
+                   np.asarray(batch.column("node")).view(np.uint64),
                    np.asarray(batch.column("home").cast(pa.int8())).astype(bool))
-            k, n, h = (np.concatenate(x) for x in zip(held, new, strict=True))
+            rows = [np.concatenate(x) for x in zip(held, new, strict=True)]
             if passing is not None:
-                upto = int(np.searchsorted(k != passing, True)) if (k != passing).any() else len(k)
+                other = rows[0] != passing
+                upto = int(other.argmax()) if other.any() else len(other)
                 if upto:
-                    yield out(1, k[:upto], n[:upto], n[:upto], h[:upto])
-                k, n, h = k[upto:], n[upto:], h[upto:]
-                if not len(k):
-                    held = (k, n, h)
+                    k, n, h = (x[:upto] for x in rows[1:])
+                    yield out(1, k, n, n, h)
+                rows = [x[upto:] for x in rows]
+                if not len(rows[0]):
+                    held = tuple(rows)
                     continue
                 passing = None
-            bounds = group_bounds(k)
+            of = rows[0]
+            bounds = group_bounds(of)
             size = np.diff(bounds)
             big = np.repeat(size > hot, size)
-            last = np.zeros(len(k), dtype=bool)
+            last = np.zeros(len(of), dtype=bool)
             last[bounds[-2] if len(bounds) > 1 else 0:] = True
             if big.any():
-                yield out(1, k[big], n[big], n[big], h[big])
+                k, n, h = (x[big] for x in rows[1:])
+                yield out(1, k, n, n, h)
                 if big[-1]:
-                    passing = k[-1]
-            done, wait = ~big & ~last, ~big & last
-            yield solve(k[done], n[done], h[done])
-            held = (k[wait], n[wait], h[wait])
+                    passing = of[-1]
+            yield solve(*(x[~big & ~last] for x in rows))
+            held = tuple(x[~big & last] for x in rows)
         if len(held[0]):
             yield solve(*held)
     return link
@@ -124,7 +129,7 @@ def forest(rows: DataFrame, match: Match, hot: int = HOT) -> DataFrame:
     holds and at least one of them is at home there.
     """
     dealt = rows.repartition("key").sortWithinPartitions("key")
-    first = cut(dealt.mapInArrow(_linker(match, hot), _SCHEMA))
+    first = cut(dealt.mapInArrow(_linker(match, hot, "key"), _SCHEMA))
     edges = first.where("kind = 0").select("a", "b")
     rest = first.where("kind = 1").selectExpr("key", "a as node", "home")
     if rest.isEmpty():
@@ -134,8 +139,8 @@ def forest(rows: DataFrame, match: Match, hot: int = HOT) -> DataFrame:
     mine = rest.join(size, "key").withColumn("blocks", blocks).withColumn(
         "mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     paired = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cell = paired.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"),
-                         "node", "home")
-    cells = cell.repartition("key").sortWithinPartitions("key")
-    more = cells.mapInArrow(_linker(match, 1 << 30), _SCHEMA)
+    cell = paired.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"),
+                         "key", "node", "home")
+    cells = cell.repartition("cell").sortWithinPartitions("cell", "key")
+    more = cells.mapInArrow(_linker(match, 1 << 30, "cell"), _SCHEMA)
     return edges.unionAll(more.select("a", "b"))
