@@ -111,12 +111,32 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Bytes whose running hash is held at once; a longer span makes a longer part.
+HASH_BYTES = 1 << 19
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; equal bytes give equal hashes wherever they stand."""
-    up, down = _power_tables(len(data) + 1)
-    prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of the bytes of each span; equal bytes give equal hashes wherever they stand.
+
+    Spans are in order and apart.  They are hashed part by part, so that the running
+    hash (8 bytes for each byte of text) stays small.
+    """
+    out = np.empty(len(starts), dtype=np.uint64)
+    at = 0
+    while at < len(starts):
+        begin = int(starts[at])
+        stop = max(at + 1, int(np.searchsorted(ends, begin + HASH_BYTES, side="right")))
+        part = data[begin:int(ends[stop - 1])]
+        up, down = _power_tables(len(part) + 1)
+        prefix = np.zeros(len(part) + 1, dtype=np.uint64)
+        scaled = part.astype(np.uint64)
+        scaled += np.uint64(1)
+        scaled *= up[:len(part)]
+        np.cumsum(scaled, out=prefix[1:])
+        s, e = starts[at:stop] - begin, ends[at:stop] - begin
+        out[at:stop] = mix((prefix[e] - prefix[s]) * down[s] + (e - s).astype(np.uint64))
+        at = stop
+    return out
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
