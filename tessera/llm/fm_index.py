@@ -111,8 +111,8 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
 class FMIndex:
     """Index of ``text`` (codes from 1, a 0 after each run) with codes below ``sigma``."""
 
-    def __init__(self, text: np.ndarray, sigma: int, every: int = 16):
-        order = suffix_order(text)
+    def __init__(self, text: np.ndarray, sigma: int, every: int = 16, order: np.ndarray | None = None):
+        order = suffix_order(text) if order is None else order
         self.n = len(text)
         before = text[order - 1]
         self.wavelet = Wavelet(before, sigma)

@@ -8,7 +8,7 @@ smaller id.  Equal windows have to meet, so shards are made by content:
    only cannot repeat across documents; a bitmap of fixed size of the others lets a
    second scan write just the segments that may repeat (a false alarm only costs work).
 2. Equal segments fall together, with their least and greatest id; an anchor's
-   segments go to one shard.
+   segments go to one shard (those of a very frequent anchor to pairs of parts).
 3. A shard's task builds an FM-index of its segments and streams the segments through
    it by backward search.  The match is kept at the threshold: after each window the
    interval falls back to its first ``WINDOW`` - 1 words and is extended by the next
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import (
     chunks,
-    group_bounds,
+    cut,
     joined,
     mix,
     shared_dir,
@@ -43,11 +43,11 @@ from .common import (
     window_hashes,
     word_spans,
 )
-from .fm_index import FMIndex
+from .fm_index import FMIndex, suffix_order
 
 WINDOW, ANCHOR = 50, 12
-#: Bits of the bitmap of anchors, words of one index, and windows in a segment at most.
-BITMAP_BITS, SHARD_WORDS, SEGMENT_WINDOWS = 1 << 26, 1_000_000, 64
+#: Bits of the bitmap of anchors, words of one index, windows in a segment, segments of an anchor in one index.
+BITMAP_BITS, SHARD_WORDS, SEGMENT_WINDOWS, HOT_SEGMENTS = 1 << 26, 1_000_000, 64, 2000
 
 
 def _sliding_least(h: np.ndarray, width: int) -> np.ndarray:
@@ -78,9 +78,9 @@ def _segments(texts: list[bytes], window: int):
     new[1:] = (at[1:] != at[:-1] + 1) | (anchor[at[1:]] != anchor[at[:-1]]) | (doc[at[1:]] != doc[at[:-1]])
     group = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
     new |= (np.arange(len(at)) - group) % SEGMENT_WINDOWS == 0
-    cut = np.append(np.flatnonzero(new), len(at))
-    first = at[cut[:-1]]
-    return data, starts, ends, doc, doc[first], anchor[first], first, np.diff(cut)
+    edge = np.append(np.flatnonzero(new), len(at))
+    first = at[edge[:-1]]
+    return data, starts, ends, doc, doc[first], anchor[first], first, np.diff(edge)
 
 
 def _anchors(window: int):
@@ -154,8 +154,8 @@ def matching_statistics(segments: list[bytes], least: np.ndarray, window: int):
     text = np.zeros(put[-1], dtype=np.int64)
     text[np.arange(len(of)) + of] = code + 1
     seg_of = np.repeat(np.arange(len(segments)), size + 1)
-    index = FMIndex(text, int(code.max(initial=0)) + 2)
-    rank_text = index.locate(np.arange(len(text)))
+    order = suffix_order(text)
+    index = FMIndex(text, int(code.max(initial=0)) + 2, order=order)
 
     def runs_of_equal(length: int) -> np.ndarray:
         """Begin of the run of ranks that share their first ``length`` words; the end of all is added."""
@@ -163,12 +163,12 @@ def matching_statistics(segments: list[bytes], least: np.ndarray, window: int):
         own = mix(window_hashes(text.astype(np.uint64), length))
         h[:len(own)] = own
         fits = np.arange(len(text)) + length < put[seg_of + 1]
-        same = fits[rank_text[1:]] & fits[rank_text[:-1]] & (h[rank_text[1:]] == h[rank_text[:-1]])
+        same = fits[order[1:]] & fits[order[:-1]] & (h[order[1:]] == h[order[:-1]])
         return np.concatenate(([0], np.flatnonzero(~same) + 1, [len(text)]))
 
     shorter, full = runs_of_equal(window - 1), runs_of_equal(window)
-    least_of_run = np.minimum.reduceat(least[seg_of[rank_text]], full[:-1]) if len(text) else least
-    del rank_text
+    least_of_run = np.minimum.reduceat(least[seg_of[order]], full[:-1]) if len(text) else least
+    del order
     lo, hi = np.zeros(len(segments), dtype=np.int64), np.full(len(segments), len(text), dtype=np.int64)
     matched = np.zeros(len(segments), dtype=np.int64)
     found = []
@@ -186,40 +186,87 @@ def matching_statistics(segments: list[bytes], least: np.ndarray, window: int):
     return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
 
 
-def _searcher(window: int, shard_words: int):
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        least, most = (np.array([r[k] for r in rows], dtype=np.int64) for k in (2, 3))
-        seg, at, owner = matching_statistics([r[4] for r in rows], least, window).T
-        keep = owner < most[seg]  # else no document of the segment loses the window
-        seg, at, owner = seg[keep], at[keep], owner[keep]
-        by = np.lexsort((at, seg))
-        seg, at, owner = seg[by], at[by], owner[by]
-        new = np.ones(len(seg), dtype=bool)
-        new[1:] = (seg[1:] != seg[:-1]) | (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)
-        cut = np.flatnonzero(new)
-        n = np.diff(np.append(cut, len(seg)))
-        anchor, segment = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (anchor[seg[cut]], segment[seg[cut]], at[cut], n, owner[cut])],
-            ["anchor", "segment", "at", "n", "owner"])
+_FOUND = ("kind byte, anchor long, segment long, at long, n long, owner long, least long, most long, words binary")
 
+
+def _solved(rows: list[tuple], window: int) -> pa.RecordBatch:
+    """Runs of windows that some document of their segment loses, from an index of all ``rows``."""
+    least, most = (np.array([r[k] for r in rows], dtype=np.int64) for k in (2, 3))
+    seg, at, owner = matching_statistics([r[4] for r in rows], least, window).T
+    keep = owner < most[seg]  # else no document of the segment loses the window
+    seg, at, owner = seg[keep], at[keep], owner[keep]
+    by = np.lexsort((at, seg))
+    seg, at, owner = seg[by], at[by], owner[by]
+    new = np.ones(len(seg), dtype=bool)
+    new[1:] = (seg[1:] != seg[:-1]) | (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)
+    cut_at = np.flatnonzero(new)
+    n = np.diff(np.append(cut_at, len(seg)))
+    anchor, segment = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 1))
+    none = np.zeros(len(cut_at), dtype=np.int64)
+    columns = [anchor[seg[cut_at]], segment[seg[cut_at]], at[cut_at], n, owner[cut_at], none, none]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.zeros(len(none), dtype=np.int8)), *map(pa.array, columns), pa.nulls(len(none), pa.binary())],
+        ["kind", "anchor", "segment", "at", "n", "owner", "least", "most", "words"])
+
+
+def _passed_on(rows: list[tuple]) -> pa.RecordBatch:
+    anchor, segment, least, most, words = zip(*(r[:5] for r in rows), strict=True)
+    none = np.zeros(len(rows), dtype=np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ones(len(rows), dtype=np.int8)), *(pa.array(x, pa.int64()) for x in (anchor, segment, none, none, none, least, most)),
+         pa.array(words, pa.binary())], ["kind", "anchor", "segment", "at", "n", "owner", "least", "most", "words"])
+
+
+def _searcher(window: int, shard_words: int, group: str, hot: int):
+    """Solve shards of whole groups; a group of over ``hot`` segments is passed on as it comes, not held."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, words = [], 0
+        shard, words, own, now, passing = [], 0, [], None, False
+        names = ("anchor", "segment", "least", "most", "words", group)
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "segment", "least", "most", "words")),
-                           strict=True):
-                if words >= shard_words and row[0] != held[-1][0]:
-                    yield solve(held)
-                    held, words = [], 0
-                held.append(row)
-                words += row[4].count(b" ") + 1
-        if held:
-            yield solve(held)
+            late = []
+            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if row[5] != now:
+                    shard += own
+                    words += sum(r[4].count(b" ") + 1 for r in own)
+                    if words >= shard_words:
+                        yield _solved(shard, window)
+                        shard, words = [], 0
+                    own, now, passing = [], row[5], False
+                (late if passing else own).append(row)
+                if len(own) > hot:
+                    late += own
+                    own, passing = [], True
+            if late:
+                yield _passed_on(late)
+        if shard or own:
+            yield _solved(shard + own, window)
     return run
 
 
+def _repeats(distinct: DataFrame, window: int, shard_words: int, hot: int) -> DataFrame:
+    """(anchor, segment, at, n, owner) of the distinct segments: runs of windows and the least id that holds them.
+
+    Segments of one anchor meet in one index.  An anchor of over ``hot`` segments is cut into
+    parts, and each pair of parts meets in an index of its own, so no task holds them all.
+    """
+    dealt = distinct.repartition("anchor").sortWithinPartitions("anchor")
+    found = cut(dealt.mapInArrow(_searcher(window, shard_words, "anchor", hot), _FOUND))
+    repeats = found.where("kind = 0").select("anchor", "segment", "at", "n", "owner")
+    rest = found.where("kind = 1").select("anchor", "segment", "least", "most", "words")
+    if rest.isEmpty():
+        return repeats
+    size = rest.groupBy("anchor").agg(F.ceil(F.count("*") / (hot // 2 or 1)).cast("long").alias("parts"))
+    mine = rest.join(size, "anchor").withColumn("mine", F.pmod(F.xxhash64("segment"), F.col("parts")))
+    paired = mine.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    cells = paired.select(F.xxhash64("anchor", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"),
+                          "anchor", "segment", "least", "most", "words")
+    again = cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(
+        _searcher(window, shard_words, "cell", 1 << 30), _FOUND)
+    return repeats.unionAll(again.select("anchor", "segment", "at", "n", "owner"))
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, bitmap_bits: int = BITMAP_BITS,
-                   shard_words: int = SHARD_WORDS) -> DataFrame:
+                   shard_words: int = SHARD_WORDS, hot: int = HOT_SEGMENTS) -> DataFrame:
     """(doc_id, text_hash, spans): per document with repeats, [first word, end) of windows held by smaller ids.
 
     ``text_hash`` tells rows of equal id and different text apart.
@@ -235,9 +282,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, bitmap_bits: int = BIT
     seen = spark.read.schema(_OCCURRENCES).parquet(path)
     distinct = seen.groupBy("anchor", "segment").agg(
         F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.first("words").alias("words"))
-    dealt = distinct.repartition("anchor").sortWithinPartitions("anchor")
-    repeats = dealt.mapInArrow(_searcher(window, shard_words),
-                               "anchor long, segment long, at long, n long, owner long")
+    repeats = _repeats(distinct, window, shard_words, hot)
     occurrences = seen.select("anchor", "segment", "doc_id", "text_hash", "first")
     spans = occurrences.join(repeats, ["anchor", "segment"]).where("owner < doc_id").select(
         "doc_id", "text_hash", F.struct((F.col("first") + F.col("at")).alias("start"), (
