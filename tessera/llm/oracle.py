@@ -39,11 +39,12 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def _later_copies(length: int) -> str:
     """Characters inside later copies of runs of ``length`` words, by document."""
+    run = ", ".join(f"w{k}" for k in range(length))
     return f"""
-r{length} AS (SELECT doc_id, sum(length(word)) AS c FROM words SEMI JOIN (
-    SELECT DISTINCT doc_id, unnest(range(i, i + {length})) AS p FROM (
-        SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, array_to_string(w[i:i + {length - 1}], ' ') ORDER BY i) AS k
-        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {length - 2})) AS i FROM d WHERE len(w) >= {length}))
+r{length} AS (SELECT doc_id, sum(length(w0)) AS c FROM runs SEMI JOIN (
+    SELECT DISTINCT doc_id, unnest(range(p, p + {length})) AS p FROM (
+        SELECT doc_id, p, row_number() OVER (PARTITION BY doc_id, {run} ORDER BY p) AS k
+        FROM runs WHERE w{length - 1} IS NOT NULL)
     WHERE k > 1) USING (doc_id, p) GROUP BY doc_id)"""
 
 
@@ -59,9 +60,10 @@ lines AS (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS
           WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 line_counts AS (SELECT doc_id, count(*) AS n, count(*) FILTER (k > 1) AS dup, coalesce(sum(c) FILTER (k > 1), 0) AS dup_c
                 FROM lines GROUP BY doc_id),
-triples AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 2], ' ')) AS n
-            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
-repeated AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM triples WHERE n > 1)
+runs AS (SELECT doc_id, p, word AS w0, {', '.join(f'lead(word, {k}) OVER o AS w{k}' for k in range(1, 10))}
+         FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+triples AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w0, w1, w2) AS n FROM runs WHERE w2 IS NOT NULL),
+repeated AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 3)) AS q FROM triples WHERE n > 1)
              GROUP BY doc_id),{','.join(map(_later_copies, _LIMITS))},
 facts AS (SELECT d.doc_id, len(w) AS n_words, coalesce(chars.c, 0)::BIGINT AS word_chars,
                  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
