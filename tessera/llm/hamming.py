@@ -1,6 +1,6 @@
 """Links between 64-bit fingerprints that share a block key, without making all pairs of a group.
 
-``forest`` gets rows (key, node, home): fingerprints that may link share a key.  Rows
+``forest`` gets rows (key, node[, home]): fingerprints that may link share a key.  Rows
 are dealt out and sorted by key; a task walks over the groups and gives, for each, a
 spanning forest of the links inside it - enough for connected components, and never
 more rows than members.  A group larger than ``HOT`` is passed on instead of held:
@@ -86,9 +86,10 @@ def _linker(match: Match, hot: int, group: str) -> Callable:
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, bool))
         passing = None  # the group that is too large to hold
         for batch in batches:
+            home = (np.asarray(batch.column("home").cast(pa.int8())).astype(bool) if "home" in batch.schema.names
+                    else np.ones(batch.num_rows, dtype=bool))
             new = (np.asarray(batch.column(group)), np.asarray(batch.column("key")),
-                   np.asarray(batch.column("node")).view(np.uint64),
-                   np.asarray(batch.column("home").cast(pa.int8())).astype(bool))
+                   np.asarray(batch.column("node")).view(np.uint64), home)
             rows = [np.concatenate(x) for x in zip(held, new, strict=True)]
             if passing is not None:
                 other = rows[0] != passing
@@ -125,8 +126,8 @@ _SCHEMA = "kind byte, key long, a long, b long, home boolean"
 def forest(rows: DataFrame, match: Match, hot: int = HOT) -> DataFrame:
     """Edges (a, b) that join the same fingerprints as all links among rows of equal key.
 
-    ``rows``: key long, node long, home boolean.  Two rows of a key link if ``match``
-    holds and at least one of them is at home there.
+    ``rows``: key long, node long, home boolean (all at home if absent).  Two rows of a key
+    link if ``match`` holds and at least one of them is at home there.
     """
     dealt = rows.repartition("key").sortWithinPartitions("key")
     first = cut(dealt.mapInArrow(_linker(match, hot, "key"), _SCHEMA))
