@@ -47,6 +47,15 @@ def corpus(seed=3, n=40):
     return rows
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """The tables here are tiny and some operators run many short stages."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="session")
 def small(spark):
     rows = corpus()

@@ -160,7 +160,12 @@ def test_lm_scores(small):
         p[w] = max(count[w] - 0.75, 0) / n + 0.75 * v / n * q
     best = {(r["doc_id"], r["n_tokens"], round(r["base_score"], 5)): r["score"] for r in got}
     for (d, *_), t, w in zip(rows, tokens, want, strict=True):
-        assert best[d, len(t), w[5]] == pytest.approx(sum(np.log10(p[x]) for x in t), abs=1e-5)
+        total, before = 0.0, Counter()
+        for m, x in enumerate(t):
+            a = 0.3 * m / (m + 20)
+            total += np.log10((1 - a) * p[x] + (a * before[x] / m if m else 0))
+            before[x] += 1
+        assert best[d, len(t), w[5]] == pytest.approx(total, abs=1e-5)
 
 
 # 3 language
