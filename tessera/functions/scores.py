@@ -18,10 +18,14 @@ def ratio(num, den) -> Column:
     return F.coalesce(F.try_divide(_c(num).cast("double"), _c(den).cast("double")), F.lit(0.0))
 
 
+def rounded(c, digits: int | None) -> Column:
+    """The value rounded to ``digits``, or as it is for None."""
+    return _c(c) if digits is None else F.round(_c(c), digits)
+
+
 def percent(num, den, digits: int | None = None) -> Column:
     """100 * num / den."""
-    v = F.lit(100.0) * ratio(num, den)
-    return F.round(v, digits) if digits is not None else v
+    return rounded(F.lit(100.0) * ratio(num, den), digits)
 
 
 def max_probability(prob_col) -> Column:

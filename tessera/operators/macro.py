@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scores import rounded
 from .clean import fill_mean
 
+
 def period_of(ts_col: str, unit: str = "month"):
     """Period key of a timestamp: ``'yyyy-MM'`` for months, a date for days, else the
     timestamp truncated to ``unit`` (e.g. ``'hour'``)."""
@@ -25,10 +27,10 @@ def period_of(ts_col: str, unit: str = "month"):
 
 
 def series_means(long: DataFrame, series: str, ts: str, value: str, unit: str = "month",
-                 period: str = "ano_mes", digits: int = 6) -> DataFrame:
+                 period: str = "ano_mes", digits: int | None = None) -> DataFrame:
     """Mean value per (period, series); unparsable values (NULL) are ignored."""
     return (long.groupBy(period_of(ts, unit).alias(period), F.col(series).alias("serie"))
-            .agg(F.round(F.avg(value), digits).alias("valor")))
+            .agg(rounded(F.avg(value), digits).alias("valor")))
 
 
 def wide(means: DataFrame, names: list[str], period: str = "ano_mes", unlisted: str | None = None) -> DataFrame:

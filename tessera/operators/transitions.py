@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import CLOSED_STATUS, DEBT_COLUMNS, STATUS_LABELS
-from ..functions.scores import percent
+from ..functions.scores import percent, rounded
 from ..functions.text import arrow_concat
 from .clean import existing
 from .profile import label_of
@@ -53,7 +53,7 @@ def next_period_targets(df: DataFrame, col: str = TARGET, closed: int = CLOSED_S
     })
 
 
-def change_history(df: DataFrame, digits: int = 6) -> DataFrame:
+def change_history(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Cumulative changes (current row included), rows since the last change
     (0 on a change row, 1, 2, ... before any change), and change rate."""
     w = _w()
@@ -64,14 +64,14 @@ def change_history(df: DataFrame, digits: int = 6) -> DataFrame:
                 "num_mudancas_anteriores": F.sum("houve_mudanca").over(upto),
                 "meses_desde_ultima_mudanca": (F.col("_rn") - F.coalesce(last_change, F.lit(0))).cast("bigint"),
             })
-            .withColumn("taxa_mudanca_empresa", F.round(F.col("num_mudancas_anteriores") / F.col("_rn"), digits))
+            .withColumn("taxa_mudanca_empresa", rounded(F.col("num_mudancas_anteriores") / F.col("_rn"), digits))
             .drop("_rn"))
 
 
-def debt_differences(df: DataFrame, cols=DEBT_COLUMNS, digits: int = 2) -> DataFrame:
+def debt_differences(df: DataFrame, cols=DEBT_COLUMNS, digits: int | None = None) -> DataFrame:
     """First difference of each debt column within the entity."""
     w = _w()
-    return df.withColumns({f"{c}_variacao": F.round(F.col(c) - F.lag(c, 1).over(w), digits)
+    return df.withColumns({f"{c}_variacao": rounded(F.col(c) - F.lag(c, 1).over(w), digits)
                            for c in existing(df, cols)})
 
 

@@ -53,10 +53,12 @@ def failure_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(prob > 0.5, F.lit(1)).otherwise(F.lit(0)).alias("y_pred"), prob.alias("prob_quebra"))
 
 
-def failure_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+def failure_training(spark: SparkSession, sf_dir: str, digits: int | None = None,
+                     debt_digits: int | None = None) -> DataFrame:
     """M7 training rows: the feature chain, change history and debt differences of entities that
     ever changed, without rows that miss a listed feature."""
-    frame = (fe.feature_frame(panel(spark, sf_dir)).transform(tr.status_changes).transform(tr.dynamic_entities)
-             .transform(tr.next_period_targets).transform(tr.change_history).transform(tr.debt_differences))
+    frame = (fe.feature_frame(panel(spark, sf_dir), digits).transform(tr.status_changes).transform(tr.dynamic_entities)
+             .transform(tr.next_period_targets).transform(tr.change_history, digits=digits)
+             .transform(tr.debt_differences, digits=debt_digits))
     wanted = existing(frame, FAILURE_FEATURES)
     return drop_incomplete(frame.select("cnpj", "ano_mes", *wanted, "vai_quebrar"), [*wanted, "vai_quebrar"])

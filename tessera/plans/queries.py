@@ -107,7 +107,7 @@ def macro_by_month(spark, sf):
 
 def _event_means(spark, sf, unit):
     events = table(spark, sf, "events", "ts", "event_type", "value")
-    return mc.series_means(events, "event_type", "ts", "value", unit=unit, period="periodo")
+    return mc.series_means(events, "event_type", "ts", "value", unit=unit, period="periodo", digits=6)
 
 
 def series_daily_means(spark, sf):
@@ -132,7 +132,7 @@ def macro_silver_fill(spark, sf):
 
 def temporal_features(spark, sf):
     cols = ["ano", "mes", "trimestre", "semestre", "mes_sin", "mes_cos", "meses_desde_inicio"]
-    return fe.temporal_features(panel(spark, sf)).select(*KEYS, *cols)
+    return fe.temporal_features(panel(spark, sf), digits=6).select(*KEYS, *cols)
 
 
 def lag_features(spark, sf):
@@ -146,34 +146,34 @@ def debt_lags(spark, sf):
 
 
 def rolling_mean_std(spark, sf):
-    out = fe.rolling_features(panel(spark, sf))
+    out = fe.rolling_features(panel(spark, sf), digits=6)
     return out.select(*KEYS, "situacao_cadastral", *[c for c in out.columns if "_rolling_" in c])
 
 
 def rolling_sum(spark, sf):
-    out = fe.rolling_sums(panel(spark, sf))
+    out = fe.rolling_sums(panel(spark, sf), digits=2)
     return out.select(*KEYS, *[c for c in out.columns if "_rolling_sum_" in c])
 
 
 def entity_stats(spark, sf):
-    out = fe.entity_stats(panel(spark, sf))
+    out = fe.entity_stats(panel(spark, sf), digits=6)
     stats = [f"situacao_cadastral_{s}_empresa" for s in ("mean", "std", "min", "max", "count")]
     return out.select(*KEYS, *stats, "tempo_atividade_anos_first", "capital_social_first")
 
 
 def entity_debt_stats(spark, sf):
     p = panel(spark, sf)
-    joined = fe.join_entity_stats(p.select(*KEYS), fe.entity_debt_stats(p))
+    joined = fe.join_entity_stats(p.select(*KEYS), fe.entity_debt_stats(p, digits=2, mean_digits=6))
     return joined
 
 
 def relative_position(spark, sf):
-    return fe.relative_position(panel(spark, sf)).select(*KEYS, "posicao_temporal", "total_registros_empresa",
+    return fe.relative_position(panel(spark, sf), digits=6).select(*KEYS, "posicao_temporal", "total_registros_empresa",
                                                           "posicao_relativa")
 
 
 def predictor_features(spark, sf):
-    return fe.predictor_frame(panel(spark, sf))
+    return fe.predictor_frame(panel(spark, sf), digits=6, sum_digits=2)
 
 
 # --- transitions ---------------------------------------------------------------------------------
@@ -212,20 +212,20 @@ def next_period_targets(spark, sf):
 
 
 def change_history_features(spark, sf):
-    out = tr.change_history(fr.changes(spark, sf))
+    out = tr.change_history(fr.changes(spark, sf), digits=6)
     return out.select(*KEYS, "houve_mudanca", "num_mudancas_anteriores", "meses_desde_ultima_mudanca",
                       "taxa_mudanca_empresa")
 
 
 def debt_diff(spark, sf):
-    out = tr.debt_differences(panel(spark, sf))
+    out = tr.debt_differences(panel(spark, sf), digits=2)
     return out.select(*KEYS, *[c for c in out.columns if c.endswith("_variacao")])
 
 
 # --- dataset -------------------------------------------------------------------------------------
 
 def complete_rows(spark, sf):
-    feats = fe.feature_frame(panel(spark, sf))
+    feats = fe.feature_frame(panel(spark, sf), digits=6)
     wanted = cl.existing(feats, MODEL_FEATURES)
     return cl.drop_incomplete(cl.select_existing(feats, wanted, keep=["situacao_cadastral", *KEYS]), wanted)
 
@@ -326,7 +326,7 @@ def binary_metrics(spark, sf):
 
 
 def failure_features(spark, sf):
-    return fr.failure_training(spark, sf)
+    return fr.failure_training(spark, sf, digits=6, debt_digits=2)
 
 
 def positive_profile(spark, sf):
