@@ -17,13 +17,13 @@ def _panel(spark, rows):
 def test_rolling_short_windows_and_single_row_std(spark):
     df = _panel(spark, [(1, D(2020, 1, 1), 2, 1.0), (1, D(2020, 2, 1), 4, 1.0), (1, D(2020, 3, 1), 8, 1.0),
                         (2, D(2020, 1, 1), 2, 5.0)])
-    out = {(r.cnpj, r.ano_mes): r for r in features.rolling_features(df, windows=[3]).collect()}
+    out = {(r.cnpj, r.ano_mes): r for r in features.rolling_features(df, windows=[3], digits=6).collect()}
     first = out[(1, D(2020, 1, 1))]
     assert first.situacao_cadastral_rolling_mean_3 == 2.0
     assert first.situacao_cadastral_rolling_std_3 == 0.0          # NULL std filled with 0
     assert out[(1, D(2020, 2, 1))].situacao_cadastral_rolling_mean_3 == 3.0   # short window allowed
     assert out[(1, D(2020, 3, 1))].situacao_cadastral_rolling_std_3 == round(math.sqrt(28 / 3), 6)
-    stats = {r.cnpj: r for r in features.entity_stats(df).collect()}
+    stats = {r.cnpj: r for r in features.entity_stats(df, digits=6).collect()}
     assert stats[2].situacao_cadastral_std_empresa is None         # per-entity std of one row stays NULL
     dropped = clean.drop_incomplete(features.entity_stats(df), ["situacao_cadastral_std_empresa"])
     assert {r.cnpj for r in dropped.collect()} == {1}
@@ -31,7 +31,7 @@ def test_rolling_short_windows_and_single_row_std(spark):
 
 def test_exclude_current_row_option(spark):
     df = _panel(spark, [(1, D(2020, 1, 1), 2, 1.0), (1, D(2020, 2, 1), 8, 1.0)])
-    out = features.rolling_features(df, windows=[3], exclude_current=True).orderBy("ano_mes").collect()
+    out = features.rolling_features(df, windows=[3], exclude_current=True, digits=6).orderBy("ano_mes").collect()
     assert out[0].situacao_cadastral_rolling_mean_3 == 0.0   # nothing before the first row -> fill
     assert out[1].situacao_cadastral_rolling_mean_3 == 2.0   # only the earlier row
 
@@ -40,7 +40,7 @@ def test_change_flags_null_safe_and_rows_since_change(spark):
     rows = [(1, D(2020, m, 1), s, 0.0) for m, s in [(1, 2), (2, 2), (3, 4), (4, 4), (5, 4), (6, 8), (7, 8)]]
     rows += [(2, D(2020, 1, 1), None, 0.0), (2, D(2020, 2, 1), 2, 0.0), (2, D(2020, 3, 1), None, 0.0)]
     df = transitions.status_changes(_panel(spark, rows))
-    hist = transitions.change_history(transitions.next_period_targets(df))
+    hist = transitions.change_history(transitions.next_period_targets(df), digits=6)
     got = {(r.cnpj, r.ano_mes.month): r for r in hist.collect()}
     assert [got[(1, m)].houve_mudanca for m in range(1, 8)] == [0, 0, 1, 0, 0, 1, 0]
     assert [got[(1, m)].meses_desde_ultima_mudanca for m in range(1, 8)] == [1, 2, 0, 1, 2, 0, 1]
@@ -57,7 +57,7 @@ def test_change_flags_null_safe_and_rows_since_change(spark):
 
 def test_change_counter_is_non_decreasing_and_zero_on_changes(spark):
     rows = [(e, D(2000 + m // 12, m % 12 + 1, 1), [2, 4, 8][(e * m) % 3], 0.0) for e in range(1, 6) for m in range(30)]
-    out = transitions.change_history(transitions.status_changes(_panel(spark, rows))).collect()
+    out = transitions.change_history(transitions.status_changes(_panel(spark, rows)), digits=6).collect()
     by = {}
     for r in out:
         by.setdefault(r.cnpj, []).append(r)
