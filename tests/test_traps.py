@@ -115,7 +115,7 @@ def test_fill_mean_and_dropna_nan(spark):
 
 def test_quarter_semester_and_cyclic_month(spark):
     df = spark.createDataFrame([(D(2020, 6, 1),), (D(2020, 7, 1),), (D(2021, 1, 1),)], "ano_mes date")
-    out = features.temporal_features(df).orderBy("ano_mes").collect()
+    out = features.temporal_features(df, digits=6).orderBy("ano_mes").collect()
     assert [r.semestre for r in out] == [1, 2, 1]                     # H1 = 1, H2 = 2
     assert [r.trimestre for r in out] == [2, 3, 1]
     assert [r.meses_desde_inicio for r in out] == [0, 1, 7]
