@@ -14,12 +14,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> list[tuple
     texts are read, so only the sample's texts leave the scan, and the side sent to it has ``rows`` rows at most.
     """
     known = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    kinds = known.select("label").distinct().count()
+    sizes = known.groupBy("label").agg(F.count("*").alias("_size"))
+    kinds = sizes.count()
     if not kinds:
         return []
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max(1, rows // kinds)).orderBy(
-        "_n", "label").limit(rows).select(F.col("doc_id").alias("_id"), "label")
+    each = max(1, rows // kinds)
+    # hashes are even, so a label's least ``each`` lie below this bound: few rows meet in its window
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    near = known.join(sizes, "label").where(spread <= (4 * each + 200) / F.col("_size")).drop("_size")
+    order = Window.partitionBy("label").orderBy(spread, "doc_id")
+    picked = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each)
+    if kinds > rows:
+        picked = picked.orderBy("label").limit(rows)
+    picked = picked.select(F.col("doc_id").alias("_id"), "label")
     texts = docs.where("text is not null").select("doc_id", "text")
     found = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "text").collect()
     return sorted({r["doc_id"]: tuple(r) for r in sorted(found, key=lambda r: (r["doc_id"], r["text"]))}.values())
