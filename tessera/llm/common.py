@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Multiplier of the byte hash and of the word hash; odd, so both have an inverse modulo 2**64.
 BYTE_BASE = 0x9E3779B97F4A7C15
@@ -81,6 +81,8 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             piece = batch.slice(at, stop - at)
             yield piece, texts_of(piece.column(column))
             at = stop
+        del batch, piece
+        pa.default_memory_pool().release_unused()  # workers live on and would keep it
 
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}

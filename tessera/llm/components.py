@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import cut
 
 #: Edges that a task contracts at once.
-LOCAL_EDGES = 500_000
+LOCAL_EDGES = 100_000
 
 
 def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ from .fm_index import FMIndex
 
 WINDOW, LEAST_SHARE = 13, 20
 #: Benchmark text that one search takes to the tasks at most, and text of a shard.
-BLOCK_BYTES, SHARD_BYTES = 16 << 20, 2 << 20
+BLOCK_BYTES, SHARD_BYTES = 16 << 20, 1 << 20
 
 #: Lower-cases A-Z and makes every byte outside 0-9, a-z and 0x80-0xFF a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
