@@ -46,7 +46,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op8_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digests(documents(spark, sf_dir))
+    return line_dedup.digests(documents(spark, sf_dir), **line_dedup.WHOLE)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
