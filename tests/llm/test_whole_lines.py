@@ -15,6 +15,12 @@ def removed(spark, tmp_path, rows):
     return {r["doc_id"]: r["n_removed"] for r in queries.op8_fuzzy_line_dedup(spark, str(tmp_path)).collect()}
 
 
+def test_equal_lines_of_any_length(spark, tmp_path):
+    rows = [row(1, "All rights reserved.\nmenu\n日本語の長い行です"), row(2, "MENU\nall rights  reserved\n日本語の長い行です"),
+            row(3, "ok\nOK!\n***\n\n***"), row(4, "nothing here comes again")]
+    assert removed(spark, tmp_path, rows) == {1: 0, 2: 3, 3: 1, 4: 0}
+
+
 def test_a_changed_word_in_a_short_line(spark, tmp_path):
     line = "please accept all cookies before reading this page"
     rows = [row(1, line), row(2, line.replace("reading", "opening")), row(3, "a line that is not like those at all")]
