@@ -246,7 +246,7 @@ def predict(docs: DataFrame, modulus: int = MODULUS, fit_rows: int = FIT_ROWS) -
     """(doc_id, held_out, lang_pred, score) per row; ids whose crc32 leaves remainder 2 are not learnt from."""
     labels = docs.where(~hold_out(F.col("doc_id"), modulus) & F.col("text").isNotNull()).select(
         "doc_id", F.col("lang").cast("string").alias("label"))
-    sample = labelled_sample(docs, labels, fit_rows)
+    sample, _ = labelled_sample(docs, labels, fit_rows)
     model = docs.sparkSession.sparkContext.broadcast(fit([(lang, text) for _, lang, text in sample]))
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        hold_out(F.col("doc_id"), modulus).alias("held_out"))

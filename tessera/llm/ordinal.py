@@ -9,7 +9,7 @@ shared by all grades, gives f(x) = w . x; ordered thresholds t_0 < t_1 < ... tur
 so a text has an expected grade and a tail probability, that of being above the lowest grades,
 by which it is selected.  With two grades this is logistic regression.
 
-Fitting takes at most ``FIT_ROWS`` rated rows; every text is scored whole where it is read.
+Fitting takes at most ``FIT_ROWS`` rated rows, evenly by grade, weighed to the shares of all rated rows; every text is scored whole where it is read.
 
 Edge cases: null and empty texts have the band features only; an id rated twice has its
 highest grade; null grades and ids are not learnt from, and a null id is never held out; with
@@ -100,8 +100,11 @@ class Model:
         return _sigmoid(_sums(self.weights[bucket] * value, begins)[:, None] - self.thresholds)
 
 
-def fit(sample: list[tuple[int, str]], steps: int = STEPS, ridge: float = 1e-5) -> Model:
-    """Fit to (grade, text) pairs by full-batch Adam on the log-likelihood."""
+def fit(sample: list[tuple[int, str]], steps: int = STEPS, ridge: float = 1e-5, stands: dict | None = None) -> Model:
+    """Fit to (grade, text) pairs by full-batch Adam on the log-likelihood.
+
+    ``stands``: how many rated rows each sampled one of a grade stands for; it weighs as much.
+    """
     grades = sorted({g for g, _ in sample}) or [0]
     weights, gaps = np.zeros(BUCKETS), np.zeros(len(grades) - 1)
     if len(grades) < 2:
@@ -110,7 +113,9 @@ def fit(sample: list[tuple[int, str]], steps: int = STEPS, ridge: float = 1e-5)
     used, place = np.unique(bucket, return_inverse=True)
     row = np.repeat(np.arange(len(sample)), np.diff(begins))
     y = np.array([grades.index(g) for g, _ in sample])
-    share = np.cumsum(np.bincount(y, minlength=len(grades)))[:-1] / len(y)
+    weigh = np.array([stands[g] if stands else 1.0 for g in grades])[y]
+    weigh *= len(y) / weigh.sum()
+    share = np.cumsum(np.bincount(y, weights=weigh, minlength=len(grades)))[:-1] / len(y)
     start = np.log(share / (1 - share))
     gaps[0], gaps[1:] = start[0], np.log(np.maximum(np.diff(start), 1e-2))
     w = np.zeros(len(used))
@@ -124,7 +129,7 @@ def fit(sample: list[tuple[int, str]], steps: int = STEPS, ridge: float = 1e-5)
         below = np.hstack((np.zeros((len(y), 1)), _sigmoid(t - f[:, None]), np.ones((len(y), 1))))
         hi, lo = below[np.arange(len(y)), y + 1], below[np.arange(len(y)), y]
         p = np.maximum(hi - lo, 1e-9)
-        slope_hi, slope_lo = hi * (1 - hi) / p, lo * (1 - lo) / p
+        slope_hi, slope_lo = weigh * hi * (1 - hi) / p, weigh * lo * (1 - lo) / p
         of_f = (slope_hi - slope_lo) / len(y)  # of the negative log-likelihood
         of_t = np.zeros(len(t))
         np.add.at(of_t, y[y < len(t)], -slope_hi[y < len(t)] / len(y))
@@ -161,8 +166,8 @@ def grade(docs: DataFrame, ratings: DataFrame, modulus: int = MODULUS, fit_rows:
     """
     known = ratings.where(~hold_out(F.col("doc_id"), modulus)).select(
         "doc_id", F.col("grade").cast("int").alias("label"))
-    sample = labelled_sample(docs, known, fit_rows)
-    model = docs.sparkSession.sparkContext.broadcast(fit([(label, text) for _, label, text in sample]))
+    sample, stands = labelled_sample(docs, known, fit_rows)
+    model = docs.sparkSession.sparkContext.broadcast(fit([(label, text) for _, label, text in sample], stands=stands))
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        hold_out(F.col("doc_id"), modulus).alias("held_out"))
     return thin.mapInArrow(_scorer(model, select, tail_above), "doc_id long, held_out boolean, expected_grade double, "

@@ -11,7 +11,7 @@ weighs.  They are composed into one table: state and class give the next state a
 Clauses are scored by that table; only clauses with an insult or a threat can match.
 
 A text's matched clauses give a few numbers, and a logistic regression on these gives its
-score.  Fitting takes at most ``FIT_ROWS`` labelled rows; insults are learnt on one half to
+score.  Fitting takes at most ``FIT_ROWS`` labelled rows, evenly by label, and then sets the odds to those of all labelled rows; insults are learnt on one half to
 make the numbers of the other, so the regression sees weights as unseen texts do.
 
 Edge cases: null and empty texts match nothing and get the score of no match; an id that
@@ -262,8 +262,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def fit(sample: list[tuple[int, str]]) -> Model:
-    """Fit to (label 0 or 1, text) pairs; the sample keeps both labels in any proportion."""
+def fit(sample: list[tuple[int, str]], stands: dict | None = None) -> Model:
+    """Fit to (label 0 or 1, text) pairs; the sample keeps both labels in any proportion.
+
+    ``stands``: how many labelled rows each sampled one of a label stands for.  The odds are those of all of them.
+    """
     toxic = [bool(y) for y, _ in sample]
     base = float(np.mean(toxic)) if toxic else 0.0
     words = [set(w for w in _TOKEN.findall(t.lower()) if w[0].isalpha()) for _, t in sample]
@@ -278,7 +281,11 @@ def fit(sample: list[tuple[int, str]]) -> Model:
             numbers[k] = matcher.numbers(sample[k][1])
     mean, scale = numbers.mean(axis=0), np.maximum(numbers.std(axis=0), 1e-6)
     x = np.hstack((np.ones((len(sample), 1)), (numbers - mean) / scale))
-    return Model(lexicon, mean, scale, _logistic(x, np.array(toxic, dtype=np.float64)), base)
+    weights = _logistic(x, np.array(toxic, dtype=np.float64))
+    if stands:
+        rows, bad = np.array([stands[y] for y, _ in sample]), np.array(toxic)
+        weights[0] += math.log(rows[bad].mean() / rows[~bad].mean())
+    return Model(lexicon, mean, scale, weights, base)
 
 
 def _scorer(sent, cut: float):
@@ -297,8 +304,8 @@ def score(docs: DataFrame, labels: DataFrame, modulus: int = MODULUS, fit_rows:
     """(doc_id, held_out, score, predicted) per row of ``docs``; ``labels`` has doc_id and toxic."""
     known = labels.where(~hold_out(F.col("doc_id"), modulus)).select(
         "doc_id", F.col("toxic").cast("int").alias("label"))
-    sample = labelled_sample(docs, known, fit_rows)
-    model = docs.sparkSession.sparkContext.broadcast(fit([(label, text) for _, label, text in sample]))
+    sample, stands = labelled_sample(docs, known, fit_rows)
+    model = docs.sparkSession.sparkContext.broadcast(fit([(label, text) for _, label, text in sample], stands))
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        hold_out(F.col("doc_id"), modulus).alias("held_out"))
     return thin.mapInArrow(_scorer(model, cut), "doc_id long, held_out boolean, score double, predicted int")
