@@ -82,5 +82,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM verdicts
 """
 
+HARD_NEGATIVES = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scores AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+                  list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+           FROM (SELECT DISTINCT * FROM r WHERE vec_id % 100 = 0) a JOIN r c ON a.vec_id <> c.vec_id),
+positives AS (SELECT anchor_id, id, score FROM scores WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER o AS rank, n.id AS negative_id, p.score AS positive_score,
+       n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+WINDOW o AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)
+QUALIFY rank <= 5
+"""
+
+RANKED_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_FOLDED} AS w FROM documents WHERE text IS NOT NULL),
+full_docs AS (SELECT * FROM d WHERE len(w) > 0),
+facts AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM full_docs),
+asked AS (SELECT row_number() OVER () AS q, item_id, {_FOLDED} AS w FROM benchmark WHERE text IS NOT NULL),
+asked_terms AS (SELECT DISTINCT q, item_id, unnest(w) AS t FROM asked),
+held AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM full_docs),
+times AS (SELECT r, doc_id, n, t, count(*) AS tf FROM held SEMI JOIN asked_terms USING (t) GROUP BY ALL),
+weights AS (SELECT t, floor(1000 * ln((2 * facts.n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM times, facts GROUP BY t, facts.n),
+parts AS (SELECT r, doc_id, t, weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * times.n * facts.n) // facts.l)))
+                 AS part FROM times JOIN weights USING (t), facts),
+scores AS (SELECT q, item_id, r, doc_id, sum(part)::BIGINT AS score FROM parts JOIN asked_terms USING (t) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores
+WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {"op5_substring_dedup": SUBSTRING, "op7_benchmark_decontamination": DECONTAMINATION,
-                          "op9_quality_rules": QUALITY_RULES}
+                          "op9_quality_rules": QUALITY_RULES, "op11_strassen_hard_negatives": HARD_NEGATIVES,
+                          "op13_shared_ranked_search": RANKED_SEARCH}

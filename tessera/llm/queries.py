@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, line_dedup, lm_score, ordinal, packing, quality_rules, simhash, substring, toxicity
+from . import (
+    decontam,
+    hard_negatives,
+    langid,
+    line_dedup,
+    lm_score,
+    ordinal,
+    packing,
+    quality_rules,
+    ranked_search,
+    simhash,
+    substring,
+    token_counts,
+    toxicity,
+)
 from .common import documents, table
 from .oracle import ORACLE  # noqa: F401 - read with QUERIES
 
@@ -57,6 +71,22 @@ def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op11_strassen_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row whose id 7 divides has the next label, of ten."""
+    rows = hard_negatives.integer_rows(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+def op12_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.digests(documents(spark, sf_dir))
+
+
+def op13_shared_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_lattice_lm, op3_language_crf, op4_simhash_near_dedup, op5_substring_dedup,
-    op6_ordinal_quality, op7_benchmark_decontamination, op8_fuzzy_line_dedup, op9_quality_rules, op10_toxicity_grammar)}
+    op6_ordinal_quality, op7_benchmark_decontamination, op8_fuzzy_line_dedup, op9_quality_rules, op10_toxicity_grammar,
+    op11_strassen_hard_negatives, op12_prefix_token_counts, op13_shared_ranked_search)}
