@@ -54,18 +54,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprinter(shingle: int):
+def _fingerprinter(shingle: int, own: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, texts in chunks(batches):
             fp = np.fromiter((fingerprint(t, shingle) for t in texts), dtype=np.uint64, count=len(texts))
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(fp.view(np.int64)), *map(piece.column, own)],
+                                             ["doc_id", "fp", *own])
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``."""
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(
-        _fingerprinter(shingle), "doc_id long, fp long")
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, own: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): one row per row of ``docs``, with the long columns ``own``."""
+    return docs.selectExpr("cast(doc_id as long) doc_id", "text", *own).mapInArrow(
+        _fingerprinter(shingle, list(own)), "doc_id long, fp long" + "".join(f", {c} long" for c in own))
 
 
 def _layout(segments: int) -> list[tuple[int, int]]:
@@ -109,28 +110,37 @@ def ring_keys(nodes: DataFrame, segments: int = SEGMENTS) -> DataFrame:
         "k.key", "node", "k.home")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, segments: int = SEGMENTS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
-
-    ``segments`` must exceed ``bits``; a key holds two segments, 128 / segments bits.
-    """
+def _named(docs: DataFrame, shingle: int, bits: int, segments: int, own: list[str]) -> DataFrame:
     if segments <= bits:
         raise ValueError("the ring needs more segments than differing bits")
-    fps = cut(fingerprints(docs, shingle))
+    fps = cut(fingerprints(docs, shingle, own))
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = cut(components(forest(ring_keys(distinct, segments), pigeonring(bits, segments))))
     grouped = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = grouped.select("fp", "root").join(names, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, segments: int = SEGMENTS) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``docs``.
+
+    ``segments`` must exceed ``bits``; a key holds two segments, 128 / segments bits.
+    """
+    return _named(docs, shingle, bits, segments, []).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each group.
 
-    A repeated row is the same document and stays as often as it came; a row without id stays.
+    A document is known by its id and text.  A repeated row is the same document and stays as often as it came; a row
+    without id stays.  Where rows of one id have different texts, each is judged by its own, and those of
+    one group that share the least id all stay.
     """
-    found = near_duplicates(docs, shingle, bits)
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash"))
+    found = _named(keyed, shingle, bits, SEGMENTS, ["_text_hash"])
+    gone = found.where("doc_id != component_id").select(
+        F.col("doc_id").alias("gone"), F.col("_text_hash").alias("gone_hash")).distinct()
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["gone"]) & (
+        F.xxhash64(docs["text"]) == gone["gone_hash"]), "left_anti")

@@ -154,23 +154,33 @@ def levenshtein(a, b):
     return row[-1]
 
 
-def lost_lines(docs, sim_of, min_words=5, bits=3, similarity=0.8):
-    """Lines each row loses; ``docs`` are (id, text hash, text), ``sim_of`` gives a normalised line's SimHash.
+def meet(x, y, bits=8):
+    """Fingerprints (by family, None where a line has none) of which a pair agrees in two bytes and is within ``bits``."""
+    for a, b in zip(x, y, strict=True):
+        if a is not None and b is not None and (a ^ b).bit_count() <= bits and sum(
+                p == q for p, q in zip(a.to_bytes(8), b.to_bytes(8), strict=True)) >= 2:
+            return True
+    return False
 
-    Rows of equal id and text are one document.
+
+def lost_lines(docs, sims_of, similarity=0.8):
+    """Lines each row loses; ``docs`` are (id, text hash, text), ``sims_of`` gives a normalised line's fingerprints.
+
+    Without ``sims_of`` all lines meet.  Rows of equal id and text are one document.
     """
     lines = []
     for doc_id, text_hash, text in sorted(set(docs), key=lambda d: (d[0] is None, d[0] or 0, d[1])):
         for k, line in enumerate((text or "").split("\n")):
             own = normal_line(line)
-            if len(own.split()) >= min_words:
-                lines.append(((doc_id, text_hash), k, own, sim_of(own)))
+            if own:
+                lines.append(((doc_id, text_hash), k, own, sims_of(own) if sims_of else None))
     union = Union()
     for i, (_, _, x, sx) in enumerate(lines):
         for j in range(i):
             _, _, y, sy = lines[j]
-            if x == y or (sx ^ sy).bit_count() <= bits and (
-                    1 - levenshtein(x, y) / max(len(x), len(y)) >= similarity):
+            longer = max(len(x), len(y))
+            if x == y or min(len(x), len(y)) >= similarity * longer - 1e-9 and (sims_of is None or meet(sx, sy)) and (
+                    longer - levenshtein(x, y) >= similarity * longer - 1e-9):
                 union.join(i, j)
     gone = defaultdict(set)
     for i, (doc, k, _, _) in enumerate(lines):

@@ -11,6 +11,7 @@ from tessera.llm import (
     decontam,
     langid,
     line_dedup,
+    line_sims,
     lm_score,
     ordinal,
     packing,
@@ -19,6 +20,7 @@ from tessera.llm import (
     substring,
     toxicity,
 )
+from tessera.llm.common import mix, window_hashes
 from tessera.llm.lattice import MARK, Lattice, Vocabulary
 
 from . import brute
@@ -337,20 +339,31 @@ def test_empty_benchmark(spark, small):
 
 # 8 lines
 
-def sim_of(line):
-    out = line_dedup._Lines([line.encode()], 1).sims()
-    return int(out[0]) if len(out) else 0
-
-
-def test_edit_distance():
-    import random
-    rng = random.Random(4)
-    for _ in range(400):
-        a, b = ("".join(rng.choice("abé") for _ in range(rng.randrange(12))) for _ in range(2))
-        assert line_dedup.edit_distance(a, b) == brute.levenshtein(a, b)
-
-
-@pytest.mark.parametrize("hot", [2, 2048])
+def sims_of(line):
+    """A normalised line's fingerprints, gram by gram."""
+    out, codes = [], np.array([ord(c) for c in line], dtype=np.uint64)
+    for gram, least, most in line_sims.FAMILIES:
+        if not max(least, gram) <= len(line) <= most:
+            out.append(None)
+            continue
+        hashes = mix(window_hashes(codes, gram) + np.uint64(gram)) >> np.uint64(24)
+        own = mix(np.array(sorted(set(hashes.tolist())), dtype=np.uint64)).tolist()
+        out.append(sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in own) > len(own)))
+    return out
+
+
+def test_fingerprints_of_lines(monkeypatch):
+    monkeypatch.setattr(line_sims, "GRAMS", 100)
+    texts = ["Ab c, d\n\n  x \nThe 3rd line, which is somewhat longer than all those others", "日本語 の 行", "é" * 700, "a " * 300]
+    lines = line_dedup._Lines([t.encode() for t in texts])
+    chars, found = lines.sims()
+    own = [brute.normal_line(x) for t in texts for x in t.split("\n") if brute.normal_line(x)]
+    assert [lines.text(k).decode() for k in range(len(own))] == own
+    assert chars.tolist() == [len(x) for x in own]
+    assert [[int(v[k]) if has[k] else None for v, has in found] for k in range(len(own))] == [sims_of(x) for x in own]
+
+
+@pytest.mark.parametrize("hot", [60, 1 << 16])
 def test_lines(spark, hot):
     import random
     rng = random.Random(9)
@@ -368,7 +381,7 @@ def test_lines(spark, hot):
     rows.append(rows[-1])
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     hashes = {r["text"]: r["h"] for r in docs.selectExpr("text", "xxhash64(text) h").collect()}
-    gone = brute.lost_lines([(d, hashes[t], t) for d, t, *_ in rows], sim_of)
+    gone = brute.lost_lines([(d, hashes[t], t) for d, t, *_ in rows], sims_of)
     got = {(r["doc_id"], r["text_hash"]): set(r["lines"]) for r in line_dedup.removed_lines(docs, hot=hot).collect()}
     assert got == dict(gone)
     assert sum(map(len, got.values())) > 60
@@ -386,7 +399,7 @@ def test_lines(spark, hot):
 def test_lines_of_the_small_table(small):
     rows, docs = small
     hashes = {r["text"]: r["h"] for r in docs.selectExpr("text", "xxhash64(text) h").distinct().collect()}
-    gone = brute.lost_lines([(d, hashes[t], t) for d, t, *_ in rows], sim_of)
+    gone = brute.lost_lines([(d, hashes[t], t) for d, t, *_ in rows], sims_of)
     got = {(r["doc_id"], r["text_hash"]): set(r["lines"]) for r in line_dedup.removed_lines(docs).collect()}
     assert got == dict(gone)
     assert line_dedup.digests(docs).count() == len(rows)
