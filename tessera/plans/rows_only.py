@@ -256,7 +256,7 @@ def load_tax_regime(spark, sf):
 def load_period_overwrite(spark, sf):
     """K1-K4 + U3: a table is created, loaded in full, its last period loaded again (replacing only
     that period), and read by its name."""
-    bronze = _read_establishments(spark, sf)
+    bronze = cut_lineage(_read_establishments(spark, sf))  # the files are read once
     name = f"tessera_bronze_{uuid.uuid4().hex[:12]}"
     sk.create_table_if_absent(spark, name, bronze.schema, _scratch(spark, "bronze"), partition_by="ano_mes")
     sk.load_table(bronze, name)

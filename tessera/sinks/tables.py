@@ -1,12 +1,20 @@
 """Table writes and load bookkeeping.
 
-Periods are written as partitions of one table, so "replace a period" is a
-dynamic partition overwrite (only the partitions present in the frame are
-replaced) instead of a truncate-then-append sequence.
+Periods are written as partitions of one table, so "replace a period" replaces
+only the partitions present in the frame, instead of a truncate-then-append sequence.
+
+A table known by name is loaded by a commit protocol: rows are staged in a folder of their
+own, then each partition's location in the catalog is pointed at its staged files, and
+only then are partitions that a truncating load leaves out dropped from the catalog.  No file
+that the catalog names is touched, so a load that dies leaves every period as it was or as it will
+be, and running it again completes it.  No session setting takes part.
 """
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,24 +49,109 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part} LOCATION '{location}'")
 
 
+#: Folder of staged loads below a table's own location; the underscore hides it from listings of the table.
+STAGED = "_loads"
+
+
+def table_location(spark: SparkSession, name: str, partition: str | None = None) -> str:
+    """Where the files of a table, or of one partition (``p='v', ...``) of it, are."""
+    of = f" PARTITION ({partition})" if partition else ""
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}{of}").where("col_name = 'Location'").collect()
+    return rows[0 if partition else -1]["data_type"].rstrip("/")
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _stage(df: DataFrame, base: str, partitions: list[str]) -> str:
+    """Write ``df`` into a staging folder of its own; nothing refers to it yet."""
+    path = f"{base}/{STAGED}/{uuid.uuid4().hex}"
+    w = df.write.format("parquet")
+    (w.partitionBy(*partitions) if partitions else w).save(path)
+    return path
+
+
+def _point(spark: SparkSession, name: str, spec: str, location: str, exists: bool) -> None:
+    """Let one partition read from ``location`` from now on: one change of the catalog."""
+    if exists:
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION {_literal(location)}")
+    else:
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION {_literal(location)}")
+
+
+def _spec(columns: list[str], values: tuple) -> str:
+    return ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(columns, values, strict=True))
+
+
+def _known_partitions(spark: SparkSession, name: str) -> set[tuple[str | None, ...]]:
+    """The values of the catalog's partitions, as text."""
+    def value(text: str) -> str | None:
+        return None if text == "__HIVE_DEFAULT_PARTITION__" else unquote(text)
+
+    return {tuple(value(pair.split("=", 1)[1]) for pair in r["partition"].split("/"))
+            for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+
+def _replace(df: DataFrame, name: str, partitions: list[str], keep_others: bool) -> None:
+    spark = df.sparkSession
+    if not partitions:
+        staged = _stage(df, table_location(spark, name).split(f"/{STAGED}/")[0], [])
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_literal(staged)}")
+        return
+    staged = _stage(df, table_location(spark, name), partitions)
+    known = _known_partitions(spark, name)
+    # one row per staged partition: its values and its folder
+    files = spark.read.schema(df.schema).option("basePath", staged).parquet(staged)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]*$", 1)
+    own = files.select(*(F.col(c).cast("string") for c in partitions), folder.alias("_folder")).distinct()
+    for *values, location in own.collect():
+        key = tuple(values)
+        _point(spark, name, _spec(partitions, key), unquote(location), key in known)  # Spark names files as URIs
+        known.discard(key)
+    if not keep_others:
+        for gone in known:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec(partitions, gone)})")
+
+
 def load_table(df: DataFrame, name: str, mode: str = "WRITE_TRUNCATE", replace_partitions: bool = False) -> DataFrame:
-    """K1-K4 on a table known by name: rows are inserted through the catalog, which
-    registers their partitions, and the table is returned as it reads after the load."""
+    """K1-K4 on a table known by name; the table is returned as it reads after the load.
+
+    A truncating load replaces all rows, or with ``replace_partitions`` those of the partitions present in
+    ``df``; an appending one adds rows.  Files that were replaced stay until ``remove_replaced``.
+    """
     spark = df.sparkSession
-    target = spark.table(name)
-    w = df.select(*target.columns).write.option(
-        "partitionOverwriteMode", "dynamic" if replace_partitions else "static")
-    w.insertInto(name, overwrite=MODES[mode] == "overwrite")
+    rows = df.select(*spark.table(name).columns)
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if MODES[mode] == "append":
+        rows.write.insertInto(name, overwrite=False)
+    else:
+        _replace(rows, name, partitions, keep_others=replace_partitions and bool(partitions))
     spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
-def split_required(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """K5: rows with every REQUIRED column present, and the rejected rest."""
-    ok = F.lit(True)
-    for c in required:
-        ok = ok & F.col(c).isNotNull()
-    return df.where(ok), df.where(~ok)
+def remove_replaced(spark: SparkSession, name: str) -> int:
+    """Delete staged loads that the table no longer reads; the number of folders deleted.
+
+    To be run when no reader of an older state and no load is at work.
+    """
+    location = table_location(spark, name)
+    base, used = location.split(f"/{STAGED}/")[0], [location]
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if partitions:
+        used += [table_location(spark, name, _spec(partitions, own)) for own in _known_partitions(spark, name)]
+    loads = {u.split(f"/{STAGED}/")[1].split("/")[0] for u in used if f"/{STAGED}/" in u}
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(f"{base}/{STAGED}")
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
+    gone = [n for n in names if n not in loads]
+    for n in gone:
+        fs.delete(hadoop.Path(f"{base}/{STAGED}/{n}"), True)
+    return len(gone)
 
 
 class LoadRejected(RuntimeError):

@@ -258,7 +258,7 @@ def test_truncate_does_not_depend_on_the_session(spark, tmp_dir):
         assert spark.read.parquet(f"{tmp_dir}/{mode}").count() == 2
         tables.write_table(rows.where("p = 'b'"), f"{tmp_dir}/{mode}", partition_by="p")
         assert spark.read.parquet(f"{tmp_dir}/{mode}").count() == 1   # the stale partition is gone
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
 def test_a_load_over_its_budget_is_rejected(spark, tmp_dir):
