@@ -4,8 +4,8 @@ All scans are one ``spark.read`` over a glob (never a Python loop over
 files), so listing and parsing run as parallel tasks and partition pruning
 comes from the path pattern.  The period of every row comes from its own
 file path (``_metadata.file_path``), so no temporary table per period is
-needed.  ``multiLine`` CSV files cannot be split, so parallelism comes from
-the number of files; land them as Parquet once and never re-read the CSV.
+needed.  Registry and debt files hold quoted line breaks; they are split all the same
+(``quoted_csv``), so a file of gigabytes is read by many tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.paths import file_path, period_of_path, segment_after
+from .quoted_csv import read_quoted_csv
 
 REGISTRY = {"estabelecimentos": (schemas.ESTABLISHMENTS, "*.ESTABELE"),
             "empresas": (schemas.COMPANIES, "*.EMPRECSV")}
@@ -39,15 +40,9 @@ def read_registry(spark: SparkSession, base: str, data_type: str, periods: list[
     the raw text of such rows (NULL for the others); ``periods`` prunes by path.
     """
     schema, default_glob = REGISTRY[data_type]
-    if corrupt_column:
-        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
-    df = (spark.read.schema(schema)
-          .option("sep", ";").option("header", "false").option("encoding", encoding)
-          .option("multiLine", "true").option("quote", '"').option("escape", '"')
-          .option("mode", "PERMISSIVE").option("pathGlobFilter", file_glob or default_glob)
-          .option("columnNameOfCorruptRecord", corrupt_column or "_corrupt_record")
-          .csv(_glob(base, periods)))
-    return df.withColumn("ano_mes", period_of_path(file_path()))
+    df = read_quoted_csv(spark, _glob(base, periods), schema, ";", encoding, file_glob=file_glob or default_glob,
+                         corrupt_column=corrupt_column)
+    return df.withColumn("ano_mes", period_of_path("_path")).drop("_path")
 
 
 def bad_registry_rows(df: DataFrame) -> F.Column:
@@ -80,16 +75,13 @@ def read_debts(spark: SparkSession, base: str, data_type: str, years: list[int]
     else:
         year_glob = "*"
     path = f"{base.rstrip('/')}/{year_glob}/*trimestre/{_either(data_type, 'tipo')}"
-    df = (spark.read.schema(schemas.DEBTS)
-          .option("sep", ";").option("header", "true").option("enforceSchema", "true")
-          .option("encoding", encoding).option("multiLine", "true").option("escape", '"')
-          .option("mode", "PERMISSIVE").option("pathGlobFilter", file_glob).csv(path))
-    p = file_path()
+    df = read_quoted_csv(spark, path, schemas.DEBTS, ";", encoding, header=True, file_glob=file_glob)
+    p = F.col("_path")
     return df.withColumns({
         "ano": segment_after(p, r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?\d+trimestre/").cast("int"),
         "trimestre": segment_after(p, r"/(?:[^/=]+=)?(\d+)trimestre/").cast("int"),
         "tipo": F.lit(data_type),
-    })
+    }).drop("_path")
 
 
 def available_periods(spark: SparkSession, base: str, file_glob: str = "*") -> DataFrame:
@@ -131,8 +123,7 @@ def land_csv(df: DataFrame, path: str, partition_by: str | list[str] | None = "a
     """Write a frame in the landed-file dialect (``;``, quoted, chosen encoding).
 
     Rows are rebalanced by partition value, which lets AQE split a hot period over
-    several writer tasks and join small ones; ``rows_per_file`` bounds a file, so files
-    that cannot be split on reading stay small.
+    several writer tasks and join small ones; ``rows_per_file`` bounds a file.
     """
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if parts:
