@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..constants import (BAD_ROW_BUDGET, DEBT_TYPES, FAILURE_FEATURES, FEATURE_FAMILIES, MACRO_SERIES,
                          MODEL_FEATURES)
+from ..operators import boosting as bt
 from ..operators import dataset as ds
 from ..operators import evaluate as ev
 from ..operators import features as fe
@@ -350,6 +351,12 @@ def boosted_scores(spark, sf):
     return md.score(model, test, keep=KEYS)
 
 
+def boosted_softmax(spark, sf):
+    """M2 + E2: multi-class boosted trees of depth 6 on histograms (6 rounds; the operator's default is 200)."""
+    train, test = _train_test(spark, sf)
+    return bt.score(bt.fit(train, rounds=6), test, keep=KEYS)
+
+
 def feature_importance(spark, sf):
     """Ranked importances of the forest."""
     train, _ = _train_test(spark, sf)
@@ -437,5 +444,5 @@ def message_status(spark, sf):
 ROWS_ONLY = {f.__name__: f for f in (
     load_bronze_csv, landed_periods, load_corrupt_rows, load_debts, load_debt_rejects, macro_job, assembled_panel, load_panel_csv,
     load_tax_regime, load_period_overwrite, load_status, load_summary, load_rejects, json_series_load, split_null_periods,
-    frequency_index, forest_scores, boosted_scores, feature_importance, importance_by_family, score_month, failure_model, incremental_files,
+    frequency_index, forest_scores, boosted_scores, boosted_softmax, feature_importance, importance_by_family, score_month, failure_model, incremental_files,
     triggered_load, message_status)}
