@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..constants import SPLIT_FRACTIONS
 from ..functions.scores import percent
+from ..session import cut_lineage
 
 ENTITY, PERIOD, TARGET = "cnpj", "ano_mes", "situacao_cadastral"
 
@@ -75,6 +76,31 @@ def _label(idx: Column, cuts: list[Column], names: list[str]) -> Column:
     return expr.otherwise(F.lit(names[-1]))
 
 
+def row_index(df: DataFrame, order: list[str], out: str = "row_index", buckets: int = 256, hot_rows: int = 100_000
+              ) -> DataFrame:
+    """Every row with its exact position from 1 in ``order`` (ascending, NULLs first).
+
+    Rows that are equal in ``order`` are put in the order of a hash of all their columns, so equal rows alone can
+    change places.  Rows are dealt out by ranges of the first column, a value of more than ``hot_rows`` rows by
+    ranges of the second one (or of the hash) too; counts per range give each its first position, and
+    rows are numbered within a range only.
+    """
+    held = cut_lineage(df.withColumn("_tie", F.xxhash64(*df.columns)))
+    second = order[1] if len(order) > 1 else "_tie"
+    keyed = _with_range_bucket(held, order[0], buckets, "_b1")
+    one = F.min(F.col(order[0])).eqNullSafe(F.max(F.col(order[0])))  # NULLs have a range of their own
+    sizes = keyed.groupBy(F.col("_b1").alias("_k1")).agg((one & (F.count(F.lit(1)) > hot_rows)).alias("_hot"))
+    keyed = keyed.join(F.broadcast(sizes), F.col("_b1") == F.col("_k1"))  # one row per range
+    ranged = _with_range_bucket(keyed, second, buckets, "_r2").withColumn(
+        "_b2", F.when(F.col("_hot"), F.col("_r2")).otherwise(F.lit(0)))
+    counts = ranged.groupBy(F.col("_b1").alias("_j1"), F.col("_b2").alias("_j2")).agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.orderBy("_j1", "_j2").rowsBetween(Window.unboundedPreceding, -1)  # over the table of ranges
+    starts = counts.withColumn("_s", F.coalesce(F.sum("_n").over(run), F.lit(0)))
+    within = Window.partitionBy("_b1", "_b2").orderBy(*order, "_tie")
+    return ranged.join(F.broadcast(starts), (F.col("_b1") == F.col("_j1")) & (F.col("_b2") == F.col("_j2"))).withColumn(
+        out, F.col("_s") + F.row_number().over(within)).select(*df.columns, out)
+
+
 def ordered_split(df: DataFrame, order: list[str], fractions=SPLIT_FRACTIONS,
                   names=("train", "val", "test"), level1: str = "value", buckets: int = 256,
                   sub_buckets: int = 256, split_col: str = "split", sub_key: str = ENTITY) -> DataFrame:
@@ -196,7 +222,8 @@ def mapping_table(df: DataFrame, cols: list[str], by_frequency: bool = False, gr
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
     long = (texts.distinct() if by_frequency else texts).unpivot([], cols, "column_name", "value").where(
         F.col("value").isNotNull())
-    counted = long.groupBy("column_name", "value").agg((-F.count(F.lit(1))).alias("_by"))
+    # written once: the ranges, their sizes and the ranks all read it
+    counted = cut_lineage(long.groupBy("column_name", "value").agg((-F.count(F.lit(1))).alias("_by")))
     order = ["_by", "value"] if by_frequency else ["value"]
     return _ranked(counted, order, groups).select("column_name", "value", "code")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import CONFIDENCE_BANDS, HIGH_RISK_THRESHOLD
 from ..functions.scores import confidence_band, percent, ratio
 from ..session import cut_lineage
+from .quantiles import exact_quantiles
 
 
 def _c(c) -> Column:
@@ -113,7 +114,7 @@ def overall_errors(pred: DataFrame, digits: int = 4) -> DataFrame:
 
 def confidence_stats(pred: DataFrame, prob: str = "prob_max", digits: int = 6, exact: bool = True) -> DataFrame:
     """Mean, median, min, max of the top-class probability."""
-    med = F.median(prob) if exact else F.percentile_approx(prob, 0.5, 100_000)
+    med = F.lit(exact_quantiles(pred, [prob], [0.5])[prob][0]).cast("double") if exact else F.percentile_approx(prob, 0.5, 100_000)
     return pred.agg(F.round(F.avg(prob), digits).alias("mean"), F.round(med, digits).alias("median"),
                     F.round(F.min(prob), digits).alias("min"), F.round(F.max(prob), digits).alias("max"))
 

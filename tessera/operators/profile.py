@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..constants import MINORITY_CLASS_MAX, STATUS_LABELS
 from ..functions.scores import percent
+from .quantiles import exact_quantiles
 
 
 def _c(c) -> Column:
@@ -108,15 +109,16 @@ def describe(df: DataFrame, cols: list[str], exact: bool = True, digits: int = 6
              accuracy: int = 100_000) -> DataFrame:
     """Count, mean, std (n-1), min, 25/50/75 %, max per column, in one pass.
 
-    ``exact`` uses linearly interpolated percentiles (pandas' ``describe``);
-    its buffer grows with the distinct values of a column, so for very large
-    or high-cardinality columns pass ``exact=False`` (bounded-memory sketch).
+    ``exact`` uses linearly interpolated percentiles (pandas' ``describe``), found by
+    distributed selection (``quantiles``); else a sketch of bounded size gives them.
     """
     probs = [0.25, 0.5, 0.75]
+    found = exact_quantiles(df, cols, probs) if exact else {}
 
     def stats(c):
         x = F.col(c).cast("double")
-        q = F.percentile(x, probs) if exact else F.percentile_approx(x, probs, accuracy)
+        q = ([F.lit(v).cast("double") for v in found[c]] if exact
+             else [F.percentile_approx(x, probs, accuracy)[k] for k in range(3)])
         return F.struct(F.count(x).alias("count"), F.round(F.avg(x), digits).alias("mean"),
                         F.round(F.stddev_samp(x), digits).alias("std"), F.round(F.min(x), digits).alias("min"),
                         F.round(q[0], digits).alias("q25"), F.round(q[1], digits).alias("q50"),
@@ -168,11 +170,6 @@ def correlation_with(df: DataFrame, target: str, cols: list[str], digits: int =
     return row.unpivot([], cols, "column_name", "corr").orderBy(F.desc_nulls_last("corr"), "column_name")
 
 
-def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """Global top-k (planned as TakeOrderedAndProject: per-task top-k, then merge)."""
-    return df.orderBy(*order).limit(k)
-
-
 def sample_histories(df: DataFrame, n: int = 9, entity: str = "cnpj") -> DataFrame:
     """The first ``n`` entities (by key) with their whole history."""
     first = df.select(entity).distinct().orderBy(entity).limit(n)

@@ -13,6 +13,10 @@ from ..constants import (CONFIDENCE_BANDS, DEBT_COLUMNS, DEBT_LAG_COLUMNS, MODEL
 from . import frames as fr
 from .oracle_landed import LANDED_ORACLE
 from .oracle_panel import with_panel
+from .queries import PLANTED_LINKS
+
+#: An attribute's name and value, as SQL text.
+_ATTR = r"""'([^\s"''>/=]+)(?:\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+))?'"""
 
 MACRO_COLS = ["selic_meta_mensal_t_minus_1", "ipca_mensal_t_minus_1", "taxa_desemprego_t_minus_1"]
 PANEL_DOUBLES = ["capital_social", "tempo_atividade_anos", *DEBT_LAG_COLUMNS, *MACRO_COLS]
@@ -481,11 +485,26 @@ SELECT * FROM work w WHERE NOT EXISTS (
     q["period_filter"] = """
 SELECT periodo FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS periodo FROM orders) p
 WHERE periodo >= '1996-03' AND periodo <= '1998-11' AND CAST(substr(periodo, 6, 2) AS INTEGER) IN (1, 2, 3, 6, 12)"""
-    q["page_links"] = """
-WITH named AS (SELECT page_id, html || '<a href="/dados/' || (['Estabelecimentos', 'Empresa', 'lucro_real_', 'Socios'])[page_id % 4 + 1]
-                  || page_id || '.zip">x</a>' AS html FROM pages),
-l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS ls FROM named),
-x AS (SELECT page_id, CAST(unnest(range(0, len(ls))) AS INTEGER) AS pos, unnest(ls) AS link FROM l),
+    q["row_positions"] = with_panel(
+        "SELECT cnpj, ano_mes, row_number() OVER (ORDER BY ano_mes NULLS FIRST, cnpj NULLS FIRST) AS row_index FROM panel")
+    planted = "'" + PLANTED_LINKS.replace("'", "''") + "'"
+    unescaped = "h"
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&#47;", "/"), ("&#x2e;", "."),
+                         ("&#39;", "''"), ("&amp;", "&")):  # the numbers that occur
+        unescaped = f"replace({unescaped}, '{entity}', '{sign}')"
+    q["page_links"] = f"""
+WITH named AS (SELECT page_id, html || replace({planted}, '{{}}', (['Estabelecimentos', 'Empresa', 'lucro_real_', 'Socios'])[page_id % 4 + 1]
+                  || page_id) AS html FROM pages),
+plain AS (SELECT page_id, regexp_replace(html, '(?is)<!--.*?(?:-->|$)|<script\\b[^>]*>.*?(?:</script\\s*>|$)|<style\\b[^>]*>.*?(?:</style\\s*>|$)'
+                 || '|<textarea\\b[^>]*>.*?(?:</textarea\\s*>|$)|<title\\b[^>]*>.*?(?:</title\\s*>|$)', '', 'g') AS html FROM named),
+tags AS (SELECT page_id, unnest(range(0, len(t))) AS p, unnest(t) AS tag
+         FROM (SELECT page_id, regexp_extract_all(html, '(?is)<a([\\s/](?:[^>"'']|"[^"]*"|''[^'']*'')*)>', 1) AS t FROM plain)),
+attributes AS (SELECT page_id, p, list_transform(regexp_extract_all(tag, {_ATTR}, 1), lambda x: lower(x)) AS k,
+                      regexp_extract_all(tag, {_ATTR}, 2) AS v FROM tags),
+hrefs AS (SELECT page_id, p, regexp_replace(v[list_position(k, 'href')], '^["'']|["'']$', '', 'g') AS h
+          FROM attributes WHERE list_contains(k, 'href')),
+x AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY p) - 1 AS INTEGER) AS pos,
+             {unescaped} AS link FROM hrefs),
 y AS (SELECT *, regexp_extract(link, '([^/]*)/?$', 1) AS arquivo FROM x)
 SELECT page_id, pos, link, arquivo,
        regexp_matches(arquivo, '(?i)^Estabelecimentos?\\d+\\.zip') AS is_estabelecimentos,

@@ -406,14 +406,26 @@ def period_filter(spark, sf):
     return mf.period_range(periods, "periodo", "1996-03", "1998-11", [1, 2, 3, 6, 12])
 
 
+#: Links as pages write them, and some that are none; {} is the page's archive.
+PLANTED_LINKS = (
+    """<a href="/dados/{}.zip">x</a><A class='b > c' HREF = '/a/{}.zip?x=1&amp;y=2'>y</A><!-- <a href="/no/{}.zip"> -->"""
+    """<a href=/b/{}.zip>z</a><a data-href="/no/{}" title='href="/no/{}"'>w</a><link href="/no/{}.css"><a name="{}">"""
+    """<script>var s = '<a href="/no/{}.js">';</script><a id=1 href="/c&#47;{}&#x2e;zip" href="/no">v</a>""")
+
+
 def page_links(spark, sf):
-    """The pages' links, and to each page one link named like a landed archive (or not)."""
+    """The pages' links, and to each page links named like a landed archive (or not), written in several ways."""
     names = F.array(*[F.lit(n) for n in ("Estabelecimentos", "Empresa", "lucro_real_", "Socios")])
-    link = F.concat(F.lit('<a href="/dados/'), names[(F.col("page_id") % 4).cast("int")], F.col("page_id").cast("string"),
-                    F.lit('.zip">x</a>'))
-    pages = table(spark, sf, "pages", "page_id", "html").withColumn("html", F.concat("html", link))
+    archive = F.concat(names[(F.col("page_id") % 4).cast("int")], F.col("page_id").cast("string"))
+    pages = table(spark, sf, "pages", "page_id", "html").withColumn(
+        "html", F.concat("html", F.replace(F.lit(PLANTED_LINKS), F.lit("{}"), archive)))
     return mf.classify_links(mf.links(pages, keep=["page_id"]))
 
 
+def row_positions(spark, sf):
+    """The position of every row of the panel in period and entity order."""
+    return ds.row_index(panel(spark, sf).select(*KEYS), ["ano_mes", "cnpj"])
+
+
 QUERIES = {name: fn for name, fn in dict(globals()).items()
            if callable(fn) and getattr(fn, "__module__", None) == __name__ and not name.startswith("_")}
