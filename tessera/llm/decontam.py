@@ -31,7 +31,7 @@ from .fm_index import FMIndex
 
 WINDOW, LEAST_SHARE = 13, 20
 #: Benchmark text that one search takes to the tasks at most, and text of a shard.
-BLOCK_BYTES, SHARD_BYTES = 16 << 20, 1 << 20
+BLOCK_BYTES, SHARD_BYTES = 4 << 20, 1 << 20
 
 #: Lower-cases A-Z and makes every byte outside 0-9, a-z and 0x80-0xFF a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -49,18 +49,24 @@ class Phrases:
         starts, ends = word_spans(data)
         item = np.searchsorted(begins, starts, side="right") - 1
         self.vocabulary, code = np.unique(span_hashes(data, starts, ends), return_inverse=True)
-        of: dict[tuple[int, ...], set[str]] = {}
-        for k, (name, _) in enumerate(items):
-            own = (code[item == k] + 1).tolist()
-            for at in range(max(len(own) - window, 0) + 1 if own else 0):
-                names = of.setdefault(tuple(own[at:at + window]), set())
-                if name is not None:
-                    names.add(name)
-        self.items = [sorted(names) for names in of.values()]
-        self.lengths = np.array([len(p) for p in of], dtype=np.int64)
-        self.codes = np.zeros((len(of), int(self.lengths.max(initial=1))), dtype=np.int64)
-        for row, phrase in zip(self.codes, of, strict=True):
-            row[:len(phrase)] = phrase
+        bounds = np.searchsorted(item, np.arange(len(items) + 1))
+        size = np.diff(bounds)
+        n_windows = np.where(size > 0, np.maximum(size - window, 0) + 1, 0)
+        of = np.repeat(np.arange(len(items)), n_windows)
+        first = bounds[of] + np.arange(len(of)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+        length = np.minimum(size[of], window)
+        # codes from 1; a window shorter than the longest one ends in zeros
+        place = np.arange(int(length.max(initial=1)))
+        inside = place < length[:, None]
+        rows = np.where(inside, code[np.minimum(first[:, None] + place, max(len(code) - 1, 0))] + 1 if len(code) else 0, 0)
+        self.codes, which = np.unique(rows.astype(np.int64), axis=0, return_inverse=True)
+        self.lengths = (self.codes > 0).sum(axis=1)
+        names = np.array([-1 if name is None else k for k, (name, _) in enumerate(items)], dtype=np.int64)[of]
+        self.items: list[list[str]] = [[] for _ in self.codes]
+        for k, name in np.unique(np.stack((which.ravel(), names), axis=1), axis=0).tolist():
+            if name >= 0:
+                self.items[k].append(items[name][0])
+        self.items = [sorted(set(own)) for own in self.items]
         self.shortest = int(self.lengths.min(initial=window))
 
     def find(self, texts: list[bytes]):
