@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import duckdb
 import pytest
@@ -12,7 +13,8 @@ from tessera.sources.testdata import TABLES
 from .conftest import SF_SMALL
 
 SQL = entry.oracle_sql()
-NAMES = sorted(SQL)
+#: The corpus operators' SQL is run by their own tests.
+NAMES = sorted(n for n in SQL if not re.match(r"op\d+_", n))
 
 
 @pytest.fixture(scope="module")
