@@ -2,7 +2,7 @@
 
 import random
 
-from tessera.llm import line_dedup, line_sims, queries
+from tessera.llm import line_dedup, line_sims, queries, simhash
 
 from . import brute
 from .conftest import SCHEMA, row
@@ -76,3 +76,11 @@ def test_very_long_line(spark):
 
 def test_empty_table(empty):
     assert line_dedup.digests(empty).count() == 0
+
+
+def test_texts_of_one_id_are_judged_by_themselves(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    docs = spark.createDataFrame([row(1, text), row(5, text), row(5, other), row(7, other)], SCHEMA)
+    left = sorted((r["doc_id"], r["text"]) for r in simhash.one_of_each(docs).collect())
+    assert left == [(1, text), (5, other)]
