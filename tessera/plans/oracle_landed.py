@@ -154,6 +154,30 @@ FROM (SELECT *, row_number() OVER (ORDER BY ano_mes NULLS FIRST, cnpj) AS idx, c
         f"SELECT '{c}' AS column_name, {c} AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS INTEGER) AS code "
         f"FROM combos WHERE {c} IS NOT NULL GROUP BY {c}" for c in columns),
         f"combos AS (SELECT DISTINCT {', '.join(columns)} FROM panel)")
+    w = "PARTITION BY cnpj ORDER BY ano_mes"
+    names = [*(f"situacao_cadastral_lag_{k}" for k in (1, 2, 3, 6, 12)),
+             *(f"situacao_cadastral_rolling_{what}_{n}" for n in (3, 6, 12) for what in ("mean", "std")), "houve_mudanca",
+             "num_mudancas_anteriores", "meses_desde_ultima_mudanca", "posicao_temporal", "taxa_mudanca_empresa"]
+    lags = ", ".join(f"CAST(lag(situacao_cadastral, {k}) OVER ({w}) AS DOUBLE) AS situacao_cadastral_lag_{k}" for k in (1, 2, 3, 6, 12))
+    rolls = ", ".join(
+        f"coalesce(round({fn}(situacao_cadastral) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), 6), 0) "
+        f"AS situacao_cadastral_rolling_{what}_{n}" for n in (3, 6, 12) for what, fn in (("mean", "avg"), ("std", "stddev_samp")))
+    q["stateful_features"] = with_panel(f"""
+SELECT cnpj, ano_mes, CAST(situacao_cadastral AS DOUBLE) AS situacao_cadastral, {", ".join(names)}, false AS atrasada FROM done
+UNION ALL
+SELECT cnpj, ano_mes, CAST(situacao_cadastral AS DOUBLE), {", ".join("NULL" for _ in names)}, true FROM panel
+WHERE cnpj % 7 = 0 AND ano_mes < (SELECT min(ano_mes) + INTERVAL 24 MONTH FROM panel)""", f"""
+one AS (
+  SELECT *, CAST(row_number() OVER ({w}) AS BIGINT) AS rn, {lags}, {rolls},
+         CAST(coalesce(situacao_cadastral <> lag(situacao_cadastral) OVER ({w}), false) AS BIGINT) AS houve_mudanca FROM panel),
+done AS (
+  SELECT *, CAST(sum(houve_mudanca) OVER ({w}) AS BIGINT) AS num_mudancas_anteriores, rn - 1 AS posicao_temporal,
+         rn - coalesce(max(CASE WHEN houve_mudanca = 1 THEN rn END) OVER ({w}), 0) AS meses_desde_ultima_mudanca,
+         round(sum(houve_mudanca) OVER ({w}) / rn, 6) AS taxa_mudanca_empresa FROM one)""")
+    month = "SELECT cnpj, strftime(ano_mes, '%Y-%m') AS ano_mes, situacao_cadastral"
+    q["snapshot_loads"] = with_panel(f"""
+{month}, 'antes' AS versao FROM panel
+UNION ALL {month}, 'depois' FROM panel WHERE ano_mes < (SELECT max(ano_mes) FROM panel) OR cnpj % 2 = 0""")
     q["triggered_load"] = with_panel(f"""
 SELECT 'estabelecimentos' AS tipo, strftime(ano_mes, '%Y-%m') AS ano_mes, {_BASICO} AS cnpj_basico FROM panel
 UNION ALL SELECT 'empresas', strftime(ano_mes, '%Y-%m'), {_BASICO} FROM panel""")

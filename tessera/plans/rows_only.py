@@ -26,10 +26,11 @@ from ..operators import models as md
 from ..operators import panel as pn
 from ..operators.clean import drop_incomplete, existing
 from ..session import cut_lineage, shared_path
+from ..sinks import snapshots
 from ..sinks import tables as sk
 from ..sources import landed, series
 from ..sources.testdata import table
-from ..streaming import incremental, triggered
+from ..streaming import incremental, stateful, triggered
 from . import frames as fr
 from .panel import panel
 
@@ -332,6 +333,21 @@ def _train_test(spark, sf):
     return split.where(F.col("split") == "train"), split.where(F.col("split") != "train")
 
 
+def snapshot_loads(spark, sf):
+    """K2 + K7: two additions (one run twice), a load that died, and the last period replaced; two versions of the table."""
+    p = panel(spark, sf).select("cnpj", F.date_format("ano_mes", "yyyy-MM").alias("ano_mes"), "situacao_cadastral")
+    table_ = _scratch(spark, "snapshots")
+    third = F.col("cnpj") % 3 == 0
+    snapshots.commit(p.where(~third), table_, "um", "ano_mes")
+    for _ in range(2):
+        before = snapshots.commit(p.where(third), table_, "dois", "ano_mes")
+    p.write.partitionBy("ano_mes").parquet(f"{table_}/data/perdida")  # no snapshot names it
+    last = p.agg(F.max("ano_mes")).scalar()
+    snapshots.commit(p.where((F.col("ano_mes") == last) & (F.col("cnpj") % 2 == 0)), table_, "tres", "ano_mes", replace=True)
+    return sk.append_union([snapshots.read(spark, table_, v).withColumn("versao", F.lit(name))
+                            for v, name in ((before, "antes"), (None, "depois"))])
+
+
 def frequency_index(spark, sf):
     """E2 + E4: frequency-ordered index fitted on distinct combinations, as a mapping table."""
     return ds.mapping_table(panel(spark, sf), fr.ENCODED, by_frequency=True)
@@ -400,6 +416,27 @@ def incremental_files(spark, sf):
     return spark.read.parquet(out).withColumn("ano_mes", F.col("ano_mes").cast("string"))
 
 
+def _stateful(spark: SparkSession, sf: str) -> str:
+    """The panel's months landed in three parts, the stream run after each; the last part also holds old rows again."""
+    def run(root):
+        p = panel(spark, sf).select(*KEYS, "situacao_cadastral")
+        start = p.agg(F.min("ano_mes")).scalar()
+        second, third = F.add_months(start, 24), F.add_months(start, 48)
+        again = p.where((F.col("cnpj") % 7 == 0) & (F.col("ano_mes") < second))
+        for part in (p.where(F.col("ano_mes") < second),
+                     p.where((F.col("ano_mes") >= second) & (F.col("ano_mes") < third)),
+                     p.where(F.col("ano_mes") >= third).unionByName(again)):
+            part.write.mode("append").parquet(f"{root}/in")
+            stateful.features_of_new_files(spark, f"{root}/in", p.schema, f"{root}/out", f"{root}/ckpt")
+    return _landed_once(spark, sf, "stateful", run)
+
+
+def stateful_features(spark, sf):
+    """T1 + W1/W3/W9-W11: features of landed months from the stream's state alone; late rows are marked."""
+    out = spark.read.parquet(f"{_stateful(spark, sf)}/out")
+    return out.select(*[F.round(c, 6).alias(c) if "_rolling_" in c or c.startswith("taxa") else F.col(c) for c in out.columns])
+
+
 def _triggered(spark: SparkSession, sf: str) -> str:
     """Loads run by trigger messages (from the data's types and latest period); good and bad messages."""
     def run(root):
@@ -445,4 +482,4 @@ ROWS_ONLY = {f.__name__: f for f in (
     load_bronze_csv, landed_periods, load_corrupt_rows, load_debts, load_debt_rejects, macro_job, assembled_panel, load_panel_csv,
     load_tax_regime, load_period_overwrite, load_status, load_summary, load_rejects, json_series_load, split_null_periods,
     frequency_index, forest_scores, boosted_scores, boosted_softmax, feature_importance, importance_by_family, score_month, failure_model, incremental_files,
-    triggered_load, message_status)}
+    stateful_features, snapshot_loads, triggered_load, message_status)}

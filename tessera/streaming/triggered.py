@@ -5,11 +5,10 @@ and validates them (F18).  A micro-batch is reduced to the distinct periods it a
 for of each registry type, those are matched with the folders that are there, and each
 type gets one read and one write, however many messages asked.
 
-Every load goes to its own partition (period, ``lote`` = micro-batch id, ``substitui``),
-overwritten as a whole.  A micro-batch that is retried after a crash writes the same
-partitions again, so nothing is added twice, and the rows of a load are counted in its
-own partitions.  ``current`` reads a table as the loads left it: of a period, the last
-truncating load and what came after.
+Every load is a snapshot's load named by its micro-batch (``sinks/snapshots.py``).  A micro-batch that
+is retried after a crash writes the same folder again or finds its load done, so nothing is added twice, and
+the rows of a load are counted in its own folder.  ``current`` reads the last snapshot: of a
+period, the last truncating load and what came after, and no file of any other load.
 """
 
 from __future__ import annotations
@@ -20,11 +19,11 @@ from pyspark.sql import functions as F
 from ..constants import ALL_TYPES, REGISTRY_DATA_TYPES
 from ..functions.messages import decode_message, message_status
 from ..session import cut_lineage
+from ..sinks import snapshots
 from ..sinks.tables import write_table
 from ..sources.landed import available_periods, read_registry
 
 MESSAGE_FILE_SCHEMA = "id string, data string"
-_LOAD_KEYS = ["ano_mes", "lote", "substitui"]
 
 
 def message_stream(spark: SparkSession, inbox: str) -> DataFrame:
@@ -54,8 +53,12 @@ def _periods_to_load(spark: SparkSession, landing: str, wanted: DataFrame, data_
             if r["s"] is not None or for_all is not None}
 
 
+def _load(batch_id: int) -> str:
+    return f"lote-{batch_id}"
+
+
 def _loaded(spark: SparkSession, tables: str, data_type: str, batch_id: int, schema) -> DataFrame:
-    own = spark.read.schema(schema).parquet(f"{tables}/{data_type}").where(F.col("lote") == batch_id)
+    own = spark.read.schema(schema).parquet(f"{tables}/{data_type}/data/{_load(batch_id)}")
     return own.groupBy("ano_mes").agg(F.count(F.lit(1)).alias("n")).withColumn("tipo", F.lit(data_type))
 
 
@@ -74,10 +77,9 @@ def handle_batch(landing: str, tables: str, status_table: str, file_glob: str =
             todo = _periods_to_load(spark, landing, wanted, data_type, file_glob)
             if not todo:
                 continue
-            replaces = F.col("ano_mes").isin([p for p, s in todo.items() if s])
-            rows = read_registry(spark, f"{landing}/{data_type}", data_type, sorted(todo), file_glob).withColumns(
-                {"lote": F.lit(batch_id).cast("long"), "substitui": replaces.cast("int")})
-            write_table(rows, f"{tables}/{data_type}", partition_by=_LOAD_KEYS, replace_partitions=True)
+            rows = read_registry(spark, f"{landing}/{data_type}", data_type, sorted(todo), file_glob)
+            snapshots.commit(rows, f"{tables}/{data_type}", _load(batch_id), key="ano_mes",
+                             replaced=[p for p, replaces in todo.items() if replaces])
             counts = counts.unionByName(_loaded(spark, tables, data_type, batch_id, rows.schema))
         per = wanted.join(counts, "tipo").where(F.col("period").isNull() | (F.col("period") == F.col("ano_mes")))
         rows = per.groupBy("id").agg(F.sum("n").alias("rows"))
@@ -90,11 +92,8 @@ def handle_batch(landing: str, tables: str, status_table: str, file_glob: str =
 
 
 def current(spark: SparkSession, tables: str, data_type: str) -> DataFrame:
-    """A registry table as its loads left it: per period, from the last replacing load on."""
-    rows = spark.read.parquet(f"{tables}/{data_type}")
-    since = rows.where("substitui = 1").groupBy("ano_mes").agg(F.max("lote").alias("_desde"))
-    kept = rows.join(since, "ano_mes", "left").where(F.col("lote") >= F.coalesce("_desde", "lote"))
-    return kept.drop("lote", "substitui", "_desde")
+    """A registry table as its loads left it: per period, from the last replacing load on; one snapshot."""
+    return snapshots.read(spark, f"{tables}/{data_type}")
 
 
 def run_triggered_loads(spark: SparkSession, inbox: str, landing: str, tables: str, status_table: str,
