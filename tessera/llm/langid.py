@@ -34,6 +34,8 @@ from .sampling import labelled_sample
 MODULUS, FIT_ROWS = 4, 480
 #: Least uses of a feature, steps of fitting, words of a training sequence, words per block, words kept per task.
 LEAST_USES, STEPS, SEQUENCE, BLOCK, CACHE_WORDS = 3, 40, 48, 256, 150_000
+#: Letters of the words kept per task.
+CACHE_LETTERS = 8 << 20
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -46,9 +48,7 @@ def words_of(text: str) -> list[str]:
 
 
 def features(word: str) -> list[str]:
-    """Affixes, trigrams and the word itself (of a very long word, its ends and its first part)."""
-    if len(word) > 64:
-        word = word[:48] + word[-16:]
+    """Affixes, trigrams and the word itself, however long it is."""
     marked = f"<{word}>"
     out = [f"={word}", marked[:2], marked[:4], marked[-2:], marked[-4:]]
     out += [marked[i:i + 3] for i in range(len(marked) - 2)]
@@ -216,16 +216,18 @@ def _labeller(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         number: dict[str, int] = {}
+        letters = 0
         table = np.zeros((0, len(model.languages) if model else 0))
         for piece, texts in chunks(batches):
             lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
             if model is not None:
                 own = [words_of(t.decode("utf-8", "replace")) for t in texts]
-                if len(number) > CACHE_WORDS:
-                    number, table = {}, table[:0]
+                if len(number) > CACHE_WORDS or letters > CACHE_LETTERS:
+                    number, table, letters = {}, table[:0], 0
                 new = list(dict.fromkeys(w for words in own for w in words if w not in number))
                 if new:
                     table = np.concatenate((table, model.weights.of(new)))
+                    letters += sum(map(len, new))
                     number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
                 size = np.array([len(words) for words in own], dtype=np.int64)
                 has = np.flatnonzero(size)

@@ -110,7 +110,34 @@ def test_bin_completion_is_least_on_small_cases():
             for x in filling:
                 held[x] += times
         assert held == Counter(lengths)
-        assert sum(t for t, _ in plan) == exhaustive(sorted(lengths, reverse=True), capacity)
+        least = exhaustive(sorted(lengths, reverse=True), capacity)
+        assert sum(t for t, _ in plan) == least >= bin_completion.fewest(counts, capacity)
+
+
+def test_bin_completion_beats_best_fit_on_many_lengths():
+    rng = np.random.default_rng(1)
+    even, middle = rng.integers(1, 2049, 20_000), rng.integers(300, 1101, 5000)
+    skewed = np.clip(rng.lognormal(6, 1, 200_000), 1, 2048).astype(int)
+    for lengths, most_over in ((even, 3), (middle, 12), (skewed, 12)):
+        counts = np.bincount(lengths, minlength=2049)
+        plan = bin_completion.bin_completion(counts, 2048)
+        held = np.zeros(2049, dtype=np.int64)
+        for times, filling in plan:
+            assert sum(filling) <= 2048
+            for x in filling:
+                held[x] += times
+        assert (held == counts).all()
+        used = sum(t for t, _ in plan)
+        assert used <= sum(t for t, _ in bin_completion.best_fit(counts, 2048))
+        assert used <= bin_completion.fewest(counts, 2048) + most_over
+
+
+def test_an_unfinished_filling_does_not_count():
+    lengths = list(range(1, 400))
+    counts = [0, *[1] * 399]
+    for _, filling in bin_completion.fillings(5000, lengths, counts, 5000):
+        left = 5000 - sum(filling)
+        assert not [x for x in lengths if x <= left and counts[x] > filling.count(x)]
 
 
 # 2 language model
@@ -210,6 +237,29 @@ def test_language_edges(small, empty):
     assert langid.words_of("²³ 12 _") == []
 
 
+def _two_languages():
+    rng = np.random.default_rng(7)
+    own = {"aa": ["kata", "mako", "tika", "okami", "nato"], "bb": ["brenz", "sturl", "glorf", "wurst", "pfling"]}
+    texts = [(lang, " ".join(rng.choice(words, 60))) for lang, words in own.items() for _ in range(30)]
+    return own, langid.fit(texts), rng
+
+
+def test_words_of_a_text_that_changes_language():
+    own, model, rng = _two_languages()
+    for switch in (1, 20, 45):
+        words = [*rng.choice(own["aa"], switch), *rng.choice(own["bb"], 50 - switch)]
+        m = langid.marginals(model.weights.of(words), np.array([50]), model.transition)
+        got = [model.languages[k] for k in m.argmax(axis=1)]
+        assert got == ["aa"] * switch + ["bb"] * (50 - switch)
+
+
+def test_all_of_a_long_word_counts():
+    own, model, _ = _two_languages()
+    middle = {lang: "x" * 60 + "".join(words) * 4 + "x" * 60 for lang, words in own.items()}
+    weights = model.weights.of([middle["aa"], middle["bb"]])
+    assert [model.languages[k] for k in weights.argmax(axis=1)] == ["aa", "bb"]
+
+
 # 4 near-duplicates
 
 def test_simhash(small):
