@@ -178,6 +178,10 @@ done AS (
     q["snapshot_loads"] = with_panel(f"""
 {month}, 'antes' AS versao FROM panel
 UNION ALL {month}, 'depois' FROM panel WHERE ano_mes < (SELECT max(ano_mes) FROM panel) OR cnpj % 2 = 0""")
+    q["changed_files"] = with_panel("""
+SELECT year(ano_mes) || '.csv' AS arquivo, cnpj, ano_mes,
+       CASE WHEN cnpj % 2 = 0 AND year(ano_mes) = (SELECT max(year(ano_mes)) FROM panel) THEN 8
+            ELSE situacao_cadastral END AS situacao_cadastral FROM panel""")
     q["triggered_load"] = with_panel(f"""
 SELECT 'estabelecimentos' AS tipo, strftime(ano_mes, '%Y-%m') AS ano_mes, {_BASICO} AS cnpj_basico FROM panel
 UNION ALL SELECT 'empresas', strftime(ano_mes, '%Y-%m'), {_BASICO} FROM panel""")

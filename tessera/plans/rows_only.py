@@ -30,7 +30,7 @@ from ..sinks import snapshots
 from ..sinks import tables as sk
 from ..sources import landed, series
 from ..sources.testdata import table
-from ..streaming import incremental, stateful, triggered
+from ..streaming import by_content, incremental, stateful, triggered
 from . import frames as fr
 from .panel import panel
 
@@ -348,6 +348,20 @@ def snapshot_loads(spark, sf):
                             for v, name in ((before, "antes"), (None, "depois"))])
 
 
+def changed_files(spark, sf):
+    """T1 + J5: one file a year, all loaded; then the last year's file lands again, as long as before, and nothing else is read."""
+    p = panel(spark, sf).select("cnpj", "ano_mes", "situacao_cadastral", F.year("ano_mes").alias("ano"))
+    other = F.when(F.col("cnpj") % 2 == 0, F.lit(8)).otherwise(F.col("situacao_cadastral"))
+    last = p.withColumn("situacao_cadastral", other).where(F.col("ano") == p.agg(F.max("ano")).scalar())
+    root = _scratch(spark, "changed")
+    schema = "cnpj long, ano_mes date, situacao_cadastral int"
+    for part in (p, last, last):
+        landed.land_named(part, f"{root}/in", "ano")
+        by_content.load_changed(spark, f"{root}/in", f"{root}/t", lambda paths: spark.read.schema(schema).csv(paths).withColumn(
+            "_path", F.col("_metadata.file_path")))
+    return by_content.loaded(spark, f"{root}/t").select("arquivo", "cnpj", "ano_mes", "situacao_cadastral")
+
+
 def frequency_index(spark, sf):
     """E2 + E4: frequency-ordered index fitted on distinct combinations, as a mapping table."""
     return ds.mapping_table(panel(spark, sf), fr.ENCODED, by_frequency=True)
@@ -482,4 +496,4 @@ ROWS_ONLY = {f.__name__: f for f in (
     load_bronze_csv, landed_periods, load_corrupt_rows, load_debts, load_debt_rejects, macro_job, assembled_panel, load_panel_csv,
     load_tax_regime, load_period_overwrite, load_status, load_summary, load_rejects, json_series_load, split_null_periods,
     frequency_index, forest_scores, boosted_scores, boosted_softmax, feature_importance, importance_by_family, score_month, failure_model, incremental_files,
-    stateful_features, snapshot_loads, triggered_load, message_status)}
+    stateful_features, snapshot_loads, changed_files, triggered_load, message_status)}

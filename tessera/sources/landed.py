@@ -10,6 +10,8 @@ needed.  Registry and debt files hold quoted line breaks; they are split all the
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,3 +137,27 @@ def land_csv(df: DataFrame, path: str, partition_by: str | list[str] | None = "a
         w = w.partitionBy(*parts)
     w.csv(path)
     return path
+
+
+def land_named(df: DataFrame, path: str, name_col: str) -> None:
+    """One CSV file ``<value>.csv`` in ``path`` for each value of ``name_col``, in place of one of that name.
+
+    Files of a landing have names of their own, so a period's file can land again; a file is one task's work.
+    """
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    df.repartition(F.col(name_col)).write.partitionBy(name_col).csv(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top, target = hadoop.Path(staged), hadoop.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    for folder in fs.listStatus(top):
+        name = folder.getPath().getName()
+        if "=" not in name:
+            continue
+        final = hadoop.Path(target, f"{name.split('=', 1)[1]}.csv")
+        files = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+        if len(files) != 1:
+            raise ValueError(f"{name} has {len(files)} files")
+        fs.delete(final, False)
+        fs.rename(files[0], final)
