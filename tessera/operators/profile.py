@@ -64,6 +64,32 @@ def distinct_counts(df: DataFrame, cols: list[str], approx: bool = False, rsd: f
     return row.unpivot([], cols, "column_name", "n_distinct")
 
 
+def sketch_error(lg_k: int) -> float:
+    """Relative error that a count from joined sketches stays within, at three standard deviations."""
+    return 3 * 1.04 / 2 ** (lg_k / 2)
+
+
+def period_sketches(df: DataFrame, cols: list[str], period: str = "ano_mes", lg_k: int = 14) -> DataFrame:
+    """A1/A4: one row per period with a distinct-count sketch of each column (NULL is no value), to be kept with the panel.
+
+    Sketches have a bounded size (at most ``2 ** lg_k`` bytes each) and are made before the shuffle; a new period adds a
+    row and leaves the others as they are.
+    """
+    return df.groupBy(period).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), lg_k).alias(f"{c}_sketch") for c in cols])
+
+
+def distinct_from_sketches(sketches: DataFrame, cols: list[str], period: str = "ano_mes", first=None, last=None) -> DataFrame:
+    """Distinct values of each column over the periods from ``first`` to ``last``, within ``sketch_error``; no row is read again."""
+    inside = F.lit(True)
+    if first is not None:
+        inside = inside & (F.col(period) >= F.lit(first))
+    if last is not None:
+        inside = inside & (F.col(period) <= F.lit(last))
+    row = sketches.where(inside).agg(
+        *[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")), F.lit(0)).alias(c) for c in cols])
+    return row.unpivot([], cols, "column_name", "n_distinct")
+
+
 def counts_by_year_month(df: DataFrame, period: str = "ano_mes", target: str = "situacao_cadastral") -> DataFrame:
     """A5: rows per (year, month, status)."""
     return (df.groupBy(F.year(period).alias("ano"), F.month(period).alias("mes"), F.col(target))

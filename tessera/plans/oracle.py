@@ -174,6 +174,11 @@ def build() -> dict[str, str]:
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM panel"
         for c in ["cnpj", "ano_mes", "situacao_cadastral", "cnae_fiscal_principal", "uf", "porte_empresa",
                   "capital_social"]]))
+    q["distinct_by_sketch"] = with_panel(union_all([
+        f"SELECT '{name}' AS periodos, '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, true AS dentro_do_erro "
+        f"FROM panel WHERE {where}" for name, where in (("todos", "true"), ("ate_1995", "ano_mes <= DATE '1995-12-31'"))
+        for c in ["cnpj", "ano_mes", "situacao_cadastral", "cnae_fiscal_principal", "uf", "porte_empresa",
+                  "capital_social"]]))
     q["status_by_month"] = with_panel(
         "SELECT CAST(year(ano_mes) AS INTEGER) AS ano, CAST(month(ano_mes) AS INTEGER) AS mes, situacao_cadastral,"
         " count(*) AS count FROM panel GROUP BY 1, 2, 3")

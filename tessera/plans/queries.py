@@ -23,6 +23,7 @@ from ..operators import manifest as mf
 from ..operators import panel as pn
 from ..operators import profile as pr
 from ..operators import transitions as tr
+from ..session import cut_lineage
 from ..sources.testdata import table
 from . import frames as fr
 from .panel import panel
@@ -51,6 +52,23 @@ def top_categories(spark, sf):
     return pr.top_values(panel(spark, sf), "uf", 10)
 
 
+def distinct_by_sketch(spark, sf):
+    """A1 + A4: distinct counts of two ranges of periods from kept sketches, beside the exact ones."""
+    cols = ["cnpj", "ano_mes", "situacao_cadastral", "cnae_fiscal_principal", "uf", "porte_empresa", "capital_social"]
+    p, lg_k = panel(spark, sf), 14
+    kept = cut_lineage(pr.period_sketches(p, cols, lg_k=lg_k))
+    parts = []
+    for name, last in (("todos", None), ("ate_1995", "1995-12-31")):
+        last = None if last is None else F.lit(last).cast("date")
+        exact = pr.distinct_counts(p if last is None else p.where(F.col("ano_mes") <= last), cols)
+        guess = pr.distinct_from_sketches(kept, cols, last=last).withColumnRenamed("n_distinct", "estimate")
+        off = F.abs(F.col("estimate") - F.col("n_distinct"))
+        parts.append(exact.join(guess, "column_name").select(
+            F.lit(name).alias("periodos"), "column_name", "n_distinct",
+            (off <= F.col("n_distinct") * pr.sketch_error(lg_k)).alias("dentro_do_erro")))
+    return parts[0].unionByName(parts[1])
+
+
 def distinct_per_column(spark, sf):
     cols = ["cnpj", "ano_mes", "situacao_cadastral", "cnae_fiscal_principal", "uf", "porte_empresa", "capital_social"]
     return pr.distinct_counts(panel(spark, sf), cols)
