@@ -43,32 +43,63 @@ class Vocabulary:
         weight = np.array([1.0 / (2.0 - (least if s is None else s)) for s in [*scores, least]])
         self.end = len(scores)
         self.size = len(weight)
-        self.longest = max(map(len, self.pieces))
         self.initial = np.log(weight / weight.sum())
+        self._index()
+
+    def _index(self) -> None:
+        """The pieces as a tree by characters: sorted (node, character) keys, the nodes they lead to, and a node's piece."""
+        letters = {c: k for k, c in enumerate(sorted({c for piece in self.pieces for c in piece}), 1)}  # 0: in no piece
+        self._letters = np.zeros(0x110000, dtype=np.int32)
+        self._letters[[ord(c) for c in letters]] = list(letters.values())
+        self._width = len(letters) + 1
+        node_of, keys, piece_of = {"": 0}, [], [-1]
+        for piece, number in self.pieces.items():
+            for k in range(1, len(piece) + 1):
+                if piece[:k] not in node_of:
+                    node_of[piece[:k]] = len(piece_of)
+                    keys.append(node_of[piece[:k - 1]] * self._width + letters[piece[k - 1]])
+                    piece_of.append(-1)
+            piece_of[node_of[piece]] = number
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        self._keys, self._next = np.array(keys, dtype=np.int64)[order], order + 1
+        self._piece_of = np.array(piece_of, dtype=np.int64)
 
     def arcs(self, words: list[bytes]):
-        """(word, start, end, piece) of every match, and each word's number of nodes less one."""
-        get, longest = self.pieces.get, self.longest
-        word, start, end, piece, size = [], [], [], [], []
-        extra = []
-        for k, raw in enumerate(words):
-            text = MARK + raw.decode("utf-8", "replace")
-            n = len(text)
-            size.append(n)
-            for i in range(n):
-                alone = False
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = get(text[i:j])
-                    if p is not None:
-                        word.append(k)
-                        start.append(i)
-                        end.append(j)
-                        piece.append(p)
-                        alone |= j == i + 1
-                if not alone:
-                    extra.append((k, i, text[i]))
-        return (np.array(word, dtype=np.int64), np.array(start, dtype=np.int64), np.array(end, dtype=np.int64),
-                np.array(piece, dtype=np.int64), np.array(size, dtype=np.int64), extra)
+        """(word, start, end, piece) of every match, each word's number of nodes less one, and the characters
+        without a piece of their own.
+
+        All places of all words go down the tree together, a character at a time, until none matches.
+        """
+        texts = [MARK + w.decode("utf-8", "replace") for w in words]
+        size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        signs = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4")
+        letter = self._letters[signs]
+        word = np.repeat(np.arange(len(size)), size)
+        first = np.cumsum(size) - size
+        stop = (first + size)[word]
+        at, node = np.arange(len(signs)), np.zeros(len(signs), dtype=np.int64)
+        begins, ends, pieces = [at[:0]], [at[:0]], [at[:0]]
+        length = 0
+        while len(at):
+            key = node * self._width + letter[at + length]
+            k = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            hit = np.flatnonzero(self._keys[k] == key)
+            at, node, length = at[hit], self._next[k[hit]], length + 1
+            piece = self._piece_of[node]
+            whole = np.flatnonzero(piece >= 0)
+            begins.append(at[whole])
+            ends.append(at[whole] + length)
+            pieces.append(piece[whole])
+            more = np.flatnonzero(at + length < stop[at])
+            at, node = at[more], node[more]
+        alone = np.ones(len(signs), dtype=bool)
+        if len(begins) > 1:
+            alone[begins[1]] = False
+        alone = np.flatnonzero(alone)
+        extra = list(zip(word[alone].tolist(), (alone - first[word[alone]]).tolist(), map(chr, signs[alone]), strict=True))
+        begin, end, piece = (np.concatenate(x) for x in (begins, ends, pieces))
+        own = word[begin]
+        return own, begin - first[own], end - first[own], piece, size, extra
 
 
 def _log_sums(values: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,15 +125,17 @@ class Lattice:
         self.n_pieces = n
         self.base = np.concatenate(([0], np.cumsum(self.size + 1)))
         self.piece, self.to, self.source = piece, self.base[word] + end, self.base[word] + start
+        self.word, self.start = word, start
         self.by_end = self._layers(end, self.to)
-        self.by_start = self._layers(-start, self.source)
         self.first, self.last = self.base[:-1], self.base[1:] - 1
 
     @staticmethod
     def _layers(level: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
         """Arcs of one position together, sorted by node."""
-        order = np.lexsort((node, level))
-        return np.split(order, np.flatnonzero(np.diff(level[order])) + 1) if len(order) else []
+        if not len(node):
+            return []
+        order = np.argsort(level * (int(node.max()) + 1) + node, kind="stable")
+        return np.split(order, np.flatnonzero(np.diff(level[order])) + 1)
 
     def _weights(self, logp: np.ndarray) -> np.ndarray:
         w = np.where(self.piece >= 0, logp[self.piece], 0.0)
@@ -130,11 +163,10 @@ class Lattice:
         w, alpha = self._weights(logp), self.forward(logp)
         beta = np.full(self.base[-1], -np.inf)
         beta[self.last] = 0.0
-        for arcs in self.by_start:
+        for arcs in self._layers(int(self.start.max(initial=0)) - self.start, self.source):
             node, value = _log_sums(beta[self.to[arcs]] + w[arcs], self.source[arcs])
             beta[node] = value
-        word = np.searchsorted(self.base, self.source, side="right") - 1
-        use = np.exp(alpha[self.source] + w + beta[self.to] - alpha[self.last][word]) * counts[word]
+        use = np.exp(alpha[self.source] + w + beta[self.to] - alpha[self.last][self.word]) * counts[self.word]
         real = self.piece >= 0
         out = np.bincount(self.piece[real], weights=use[real], minlength=self.vocabulary.size)
         for arc in np.flatnonzero(~real):

@@ -12,9 +12,9 @@ among the m before it has, with a = CACHE * m / (m + CACHE_WORDS),
     p(word | text so far) = (1 - a) * p(word) + a * h / m .
 
 Piece weights begin at the vocabulary's own scores.  They are fitted to the learnt words
-by expected counts (forward-backward over every lattice): a few rounds over a bounded
-number of words, then one over all of them.  A text's score is the log10 of the product.
-All of it sums to one over all token sequences.
+by expected counts (forward-backward over every lattice): ``ROUNDS`` rounds, each over all
+of them.  A text's score is the log10 of the product.  All of it sums to one over all token
+sequences.
 
 How it runs: words are counted with map-side aggregation; each different word gets its
 lattice once, wherever it occurs.  Texts look up at most ``FREQUENT`` words in a table sent
@@ -43,8 +43,8 @@ from .common import LOWER, chunks, cut, hold_out, shared_dir
 from .lattice import Lattice, Vocabulary, normalised
 
 MODULUS, DISCOUNT, CACHE, CACHE_WORDS = 7, 0.75, 0.3, 20
-#: Words sent to the tasks, words of the first rounds, rounds over those, words of one lattice batch.
-FREQUENT, WARM_WORDS, WARM_ROUNDS, BATCH = 100_000, 20_000, 3, 4000
+#: Words sent to the tasks, rounds over all learnt words, words of one lattice batch.
+FREQUENT, ROUNDS, BATCH = 100_000, 4, 4000
 #: Different words a task counts before it passes the counts on.
 COUNTER_WORDS = 250_000
 
@@ -103,29 +103,26 @@ def _expected(logp, vocabulary: str):
     return run
 
 
-def fit_pieces(learnt: DataFrame, vocabulary: str = _PIECE_FILE) -> np.ndarray:
-    """Log probability of every piece, fitted to the different words in ``learnt`` (column word).
+def fit_pieces(learnt: DataFrame, vocabulary: str = _PIECE_FILE, rounds: int = ROUNDS) -> np.ndarray:
+    """Log probability of every piece, fitted in each round to all the different words in ``learnt`` (column word).
 
-    The driver gets at most twice ``WARM_WORDS`` words and one sum per piece.
+    The driver gets one sum per piece and round.
     """
     spark = learnt.sparkSession
     own = Vocabulary(vocabulary)
     logp = own.initial
-    each = max(1, learnt.count() // WARM_WORDS)
-    warm = sorted(r[0] for r in learnt.select("word").where(F.pmod(F.xxhash64("word"), F.lit(each)) == 0).limit(
-        2 * WARM_WORDS).collect())
-    if not warm:
-        return logp
-    lattices = [Lattice(own, [bytes(w) for w in warm[at:at + BATCH]]) for at in range(0, len(warm), BATCH)]
-    for _ in range(WARM_ROUNDS):
-        logp = normalised(sum(x.expected(logp, np.ones(len(x.size))) for x in lattices))
-    sent = spark.sparkContext.broadcast(logp)
-    uses = learnt.select("word").mapInArrow(_expected(sent, vocabulary), "piece long, uses double").groupBy(
-        "piece").agg(F.sum("uses").alias("uses"))
-    total = np.zeros(own.size)
-    for piece, n in uses.collect():  # at most one row per piece of the vocabulary
-        total[piece] = n
-    return normalised(total)
+    for _ in range(rounds):
+        sent = spark.sparkContext.broadcast(logp)
+        uses = learnt.select("word").mapInArrow(_expected(sent, vocabulary), "piece long, uses double").groupBy(
+            "piece").agg(F.sum("uses").alias("uses")).collect()  # at most one row per piece of the vocabulary
+        sent.unpersist()
+        if not uses:  # nothing learnt
+            break
+        total = np.zeros(own.size)
+        for piece, n in uses:
+            total[piece] = n
+        logp = normalised(total)
+    return logp
 
 
 def _word_scores(logp, n: int, v: int, vocabulary: str):

@@ -21,7 +21,7 @@ from tessera.llm import (
     toxicity,
 )
 from tessera.llm.common import mix, window_hashes
-from tessera.llm.lattice import MARK, Lattice, Vocabulary
+from tessera.llm.lattice import MARK, Lattice, Vocabulary, normalised
 
 from . import brute
 from .conftest import SCHEMA, row
@@ -197,6 +197,17 @@ def test_lm_scores(small):
         assert best[d, len(t), w[5]] == pytest.approx(total, abs=1e-5)
 
 
+def test_pieces_are_fitted_to_all_words_in_every_round(spark):
+    own = Vocabulary()
+    words = spark.range(45_000).selectExpr("encode(lower(conv(id * 7919, 10, 26)), 'utf-8') AS word")
+    lattice = Lattice(own, [bytes(r[0]) for r in words.collect()])
+    logp = own.initial
+    for _ in range(4):
+        logp = normalised(lattice.expected(logp, np.ones(45_000)))
+    got = lm_score.fit_pieces(words)
+    assert np.allclose(got, logp, atol=1e-6)
+
+
 # 3 language
 
 def test_marginals_against_enumeration(monkeypatch):
