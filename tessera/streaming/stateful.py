@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -56,7 +57,7 @@ def _advance(state: tuple, value: float | None, period, lags: list[int], windows
     row = [history[-1 - k] if k < len(history) else None for k in lags]
     for w in windows:
         row += _mean_std(history[-w:])
-    row += [change, changes, n - last_change, n - 1, changes / n, False]
+    row += [change, changes, n - last_change, n - 1, changes / n]
     return (history[-max(*lags, *windows) - 1:], n, changes, last_change, period), row
 
 
@@ -64,35 +65,36 @@ def stateful_features(stream: DataFrame, col: str = TARGET, lags: list[int] = ST
                       entity: str = ENTITY, period: str = PERIOD) -> DataFrame:
     """A streaming (entity, period, ``col``) frame with its lags, rolling statistics and change history."""
     names = _names(col, lags, windows)
-    schema = T.StructType([stream.schema[entity], stream.schema[period]]).add(col, "double")
-    for name, kind in names:
-        schema = schema.add(name, kind)
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = tuple(state.get) if state.exists else ([], 0, 0, 0, None)
         held = (list(held[0]), *held[1:])
         rows = []
         for frame in frames:
-            values = frame[col].astype("float64")
-            rows += zip((None if pd.isna(p) else p for p in frame[period]),
-                        (None if math.isnan(v) else v for v in values), strict=True)
+            rows += zip((None if pd.isna(p) else p for p in frame[period].array),
+                        (None if math.isnan(v) else v for v in frame[col].to_numpy("float64").tolist()), strict=True)
         rows.sort(key=lambda r: (r[0] is None, r[0] if r[0] is not None else 0, r[1] is None, r[1] or 0.0))
-        out = []
+        features = []
         for when, value in rows:
             if when is None or held[4] is not None and when <= held[4]:
-                out.append([key[0], when, value, *[None] * (len(names) - 1), True])
+                features.append(None)
                 continue
-            held, features = _advance(held, value, when, lags, windows)
-            out.append([key[0], when, value, *features])
+            held, own = _advance(held, value, when, lags, windows)
+            features.append(own)
         state.update(held)
-        frame = pd.DataFrame(out, columns=schema.fieldNames(), dtype=object)
-        for name, kind in names:
-            frame[name] = frame[name].astype({"double": "float64", "long": "Int64", "boolean": "bool"}[kind])
-        yield frame
+        yield pd.DataFrame({"entity": [key[0]], "periods": [[r[0] for r in rows]], "values": [[r[1] for r in rows]],
+                            "features": [features]}, dtype=object)
 
     own = stream.select(entity, stream[period].cast("date").alias(period), stream[col].cast("double").alias(col))
-    schema[period].dataType = T.DateType()
-    return own.groupBy(entity).applyInPandasWithState(update, schema, _STATE, "append", GroupStateTimeout.NoTimeout)
+    # one row per entity and batch leaves Python, numbers only: frames of many typed columns cost more than the features
+    doubles = T.ArrayType(T.DoubleType())
+    packed = T.StructType([T.StructField("entity", stream.schema[entity].dataType)]).add(
+        "periods", T.ArrayType(T.DateType())).add("values", doubles).add("features", T.ArrayType(doubles))
+    found = own.groupBy(entity).applyInPandasWithState(update, packed, _STATE, "append", GroupStateTimeout.NoTimeout)
+    rows = found.select(F.col("entity").alias(entity), F.inline(F.arrays_zip("periods", "values", "features")))
+    placed = [F.col("features")[k].cast(kind).alias(name) for k, (name, kind) in enumerate(names[:-1])]
+    return rows.select(entity, F.col("periods").alias(period), F.col("values").alias(col), *placed,
+                       F.col("features").isNull().alias(names[-1][0]))
 
 
 def features_of_new_files(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, **settings) -> None:
