@@ -11,7 +11,7 @@ encoded for itself.  Within a piece:
 2. The count of a prefix that ends at p takes one more step with the tokens that end a word.
 3. Neighbours are tested on the merges along their common border (``_Merges.side_by_side``).
 
-Pieces come back often: their tables are kept by task (``KEPT_PIECES`` of them) and joined to
+Pieces come back often: their tables are kept by worker (``KEPT_PIECES`` of them) and joined to
 the table of a text, one count for each of its code points.  ``prefix_counts`` returns it,
 and ``tokens_before`` and ``longest_prefix`` answer from it how many tokens a prefix has and
 how much of a text a budget holds, for any number of positions and budgets.
@@ -32,6 +32,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import chunks
 
 VOCABULARY, LIMIT = "word_bpe_49k", 2048
-#: What a task keeps of pieces' tables, of prefixes up to ``SHARED_BYTES`` and of pairs of tokens; it only saves time.
+#: What a worker keeps of pieces' tables, of prefixes up to ``SHARED_BYTES`` and of pairs of tokens; it only saves time.
 KEPT_PIECES, KEPT_PREFIXES, SHARED_BYTES, KEPT_PAIRS = 150_000, 150_000, 24, 1 << 20
 _NEVER = 1 << 60
 _END = "</w>"
@@ -109,13 +110,14 @@ class _Merges:
 
     def _step(self, data: bytes, last: list[int], ends: dict[bytes, int]) -> tuple[int, int]:
         """The token of ``ends`` that ends ``data`` and goes with what stands before it, and where it begins."""
+        token = ends.get(data)
+        if token is not None:  # these tokens are what their own bytes give
+            return token, 0
         known, p = self._known, len(data)
-        for begin in range(p - 1, max(-1, p - 1 - self.longest), -1):
+        for begin in range(p - 1, max(0, p - 1 - self.longest), -1):
             token = ends.get(data[begin:])
             if token is None:
                 continue
-            if not begin:
-                break
             pair = last[begin] << 20 | token
             fits = known.get(pair)
             if fits is None:
@@ -130,15 +132,22 @@ class _Merges:
         """Tokens of each prefix of ``word``, by code points; words that begin alike share the steps of their beginning."""
         data = word.encode("utf-8", "surrogatepass")
         states, last, count, out = self._states, [-1], [0], []
-        for p in range(1, len(data) + 1):
+        recent, inner, final, size = states.new, self.inner, self.final, len(data)
+        for p in range(1, size + 1):
             prefix = data[:p]
-            state = states.get(prefix) if p <= SHARED_BYTES else None
+            state = None
+            if p <= SHARED_BYTES:
+                state = recent.get(prefix)
+                if state is None:
+                    state = states.get(prefix)
+                    recent = states.new
             if state is None:
-                token, begin = self._step(prefix, last, self.inner)
-                whole = p == len(data) or data[p] & 0xC0 != 0x80  # not inside a code point
-                state = token, count[begin] + 1, count[self._step(prefix, last, self.final)[1]] + 1 if whole else 0
+                token, begin = self._step(prefix, last, inner)
+                whole = p == size or data[p] & 0xC0 != 0x80  # not inside a code point
+                state = token, count[begin] + 1, count[self._step(prefix, last, final)[1]] + 1 if whole else 0
                 if p <= SHARED_BYTES:
                     states.put(prefix, state)
+                    recent = states.new
             last.append(state[0])
             count.append(state[1])
             if state[2]:
@@ -287,11 +296,17 @@ class PrefixCounter:
         return np.concatenate(out)
 
 
+@lru_cache(maxsize=1)
+def _kept_counter(vocabulary: str) -> PrefixCounter:
+    """The counter of a Python worker, with its bounded tables; the worker's next tasks go on with it."""
+    return PrefixCounter(vocabulary)
+
+
 def _counter(vocabulary: str, limit: int, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
         for piece, texts in chunks(batches):
-            counter = counter or PrefixCounter(vocabulary)
+            counter = counter or _kept_counter(vocabulary)
             n_tokens, fits, tables = [], [], []
             for text in texts:
                 counts = counter.counts(text.decode("utf-8", "replace"))

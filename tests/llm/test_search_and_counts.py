@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,6 +140,16 @@ def test_kept_tables_do_not_change_counts(monkeypatch):
         assert (int(counts[-1]) if len(counts) else 0) == library_count(own, text or "")
 
 
+def test_the_tasks_of_a_worker_share_a_counter(monkeypatch, counter):
+    made = []
+    monkeypatch.setattr(token_counts, "PrefixCounter", lambda name: made.append(name) or counter)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["one two", None, "one two"]})
+    name = f"{token_counts.VOCABULARY}-shared"  # not one of a task before
+    got = [b.column("n_tokens").to_pylist() for _ in range(2) for b in token_counts._counter(name, 60, False)(iter([batch]))]
+    token_counts._kept_counter.cache_clear()
+    assert made == [name] and got[0] == got[1] == [2, 0, 2]
+
+
 def test_token_counts_of_a_table(small, counter):
     rows, docs = small
     got = token_counts.digests(docs, limit=60).collect()
