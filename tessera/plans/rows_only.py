@@ -342,8 +342,8 @@ def snapshot_loads(spark, sf):
     for _ in range(2):
         before = snapshots.commit(p.where(third), table_, "dois", "ano_mes")
     p.write.partitionBy("ano_mes").parquet(f"{table_}/data/perdida")  # no snapshot names it
-    last = p.agg(F.max("ano_mes")).scalar()
-    snapshots.commit(p.where((F.col("ano_mes") == last) & (F.col("cnpj") % 2 == 0)), table_, "tres", "ano_mes", replace=True)
+    last = p.agg(F.max("ano_mes")).first()[0]  # replaced by name: its new load may have no rows
+    snapshots.commit(p.where((F.col("ano_mes") == last) & (F.col("cnpj") % 2 == 0)), table_, "tres", "ano_mes", replaced=[last])
     return sk.append_union([snapshots.read(spark, table_, v).withColumn("versao", F.lit(name))
                             for v, name in ((before, "antes"), (None, "depois"))])
 
