@@ -102,7 +102,9 @@ def company_rows(spark: SparkSession, sf: str) -> DataFrame:
 def _establishments(spark: SparkSession, sf: str) -> str:
     def land(root):
         landed.land_csv(establishment_rows(spark, sf), f"{root}/estabelecimentos")
-        dirty_lines(spark, sf).write.mode("append").partitionBy("ano_mes").text(f"{root}/estabelecimentos")
+        # by month, or every task would leave a small file in every month's folder
+        dirty = dirty_lines(spark, sf).hint("rebalance", F.col("ano_mes"))
+        dirty.write.mode("append").partitionBy("ano_mes").text(f"{root}/estabelecimentos")
     return _landed_once(spark, sf, "estabelecimentos", land)
 
 

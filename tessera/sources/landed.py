@@ -44,7 +44,19 @@ def read_registry(spark: SparkSession, base: str, data_type: str, periods: list[
     schema, default_glob = REGISTRY[data_type]
     df = read_quoted_csv(spark, _glob(base, periods), schema, ";", encoding, file_glob=file_glob or default_glob,
                          corrupt_column=corrupt_column)
-    return df.withColumn("ano_mes", period_of_path("_path")).drop("_path")
+    return _by_file(df, _glob(base, periods), file_glob or default_glob, {"ano_mes": period_of_path("_path")})
+
+
+def _by_file(df: DataFrame, path: str, file_glob: str, values: dict[str, F.Column]) -> DataFrame:
+    """``df`` with ``values`` (expressions of ``_path``) in place of ``_path``.
+
+    They are worked out once for each file of the listing (no content is read) and looked up by the rows; as an
+    expression of a row, the patterns are matched several times for each, wherever the value is used.
+    """
+    files = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", file_glob).load(path)
+    known = files.select(file_path().alias("_path")).distinct().select(
+        F.col("_path").alias("_file"), *[v.alias(c) for c, v in values.items()])
+    return df.join(F.broadcast(known), F.col("_path") == F.col("_file"), "left").drop("_path", "_file")
 
 
 def bad_registry_rows(df: DataFrame) -> F.Column:
@@ -79,11 +91,10 @@ def read_debts(spark: SparkSession, base: str, data_type: str, years: list[int]
     path = f"{base.rstrip('/')}/{year_glob}/*trimestre/{_either(data_type, 'tipo')}"
     df = read_quoted_csv(spark, path, schemas.DEBTS, ";", encoding, header=True, file_glob=file_glob)
     p = F.col("_path")
-    return df.withColumns({
+    return _by_file(df, path, file_glob, {
         "ano": segment_after(p, r"/(?:[^/=]+=)?(\d{4})/(?:[^/=]+=)?\d+trimestre/").cast("int"),
         "trimestre": segment_after(p, r"/(?:[^/=]+=)?(\d+)trimestre/").cast("int"),
-        "tipo": F.lit(data_type),
-    }).drop("_path")
+    }).withColumn("tipo", F.lit(data_type))
 
 
 def available_periods(spark: SparkSession, base: str, file_glob: str = "*") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.messages import decode_message, message_status
 from tessera.operators import macro, panel
+from tessera.plans import rows_only
 from tessera.sinks import tables
 from tessera.sources import archives, landed, series
 from tessera.streaming import incremental, triggered
@@ -289,3 +290,34 @@ def test_debts_count_from_months_without_a_panel_row(spark):
     assert [r.pgfn_fgts_valor_acumulado_t_minus_1 for r in out] == [100.0, 150.5, 0.0]
     assert [r.pgfn_prev_valor_acumulado_t_minus_1 for r in out] == [0.0, 7.0, 0.0]
     assert [r.pgfn_fgts_ajuizados_t_minus_1 for r in out] == [1.0, 1.0, 0.0]
+
+
+def test_path_patterns_are_matched_by_file_not_by_row(spark, tmp_dir):
+    for month in ("2024-01", "2024-02"):
+        os.makedirs(f"{tmp_dir}/r/{month}")
+        with open(f"{tmp_dir}/r/{month}/a b.EMPRECSV", "w", encoding="latin-1") as f:
+            f.write("00000001;RAZAO;2062;49;1,00;01;\n" * 3)
+    os.makedirs(f"{tmp_dir}/d/ano=2024/trimestre=2trimestre/tipo=FGTS")
+    with open(f"{tmp_dir}/d/ano=2024/trimestre=2trimestre/tipo=FGTS/x.csv", "w", encoding="utf-8") as f:
+        f.write("header\n1;PJ\n2;PJ\n")
+    rows = landed.read_registry(spark, f"{tmp_dir}/r", "empresas")
+    debts = landed.read_debts(spark, f"{tmp_dir}/d", "FGTS")
+    assert rows.columns[-1] == "ano_mes" and debts.columns[-3:] == ["ano", "trimestre", "tipo"]
+    assert sorted(r["ano_mes"] for r in rows.collect()) == ["2024-01"] * 3 + ["2024-02"] * 3
+    assert [(r["ano"], r["trimestre"]) for r in debts.collect()] == [(2024, 2)] * 2
+    for df in (rows, debts):
+        of_rows, of_files = df._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow", 1)
+        assert "regexp_extract" not in of_rows and "regexp_extract" in of_files
+
+
+def test_dirty_lines_make_few_files(spark, tmp_dir, monkeypatch):
+    rows = spark.range(0, 37 * 400, 1, 12).selectExpr(
+        "id as cnpj", "add_months(date'1998-01-01', cast(id % 3 as int)) as ano_mes", "2 as situacao_cadastral",
+        "'A' as cnae_fiscal_principal", "'SP' as uf")
+    monkeypatch.setattr(rows_only, "panel", lambda *_: rows)
+    root = f"{rows_only._establishments(spark, tmp_dir)}/estabelecimentos"
+    months = [d for d in os.listdir(root) if "=" in d]
+    dirty = [f for d in months for f in os.listdir(f"{root}/{d}") if f.endswith(".txt")]
+    assert len(months) == 3 and len(dirty) == 3
+    assert sum(1 for d in months for f in os.listdir(f"{root}/{d}") if f.endswith(".txt")
+               for _ in open(f"{root}/{d}/{f}")) == 3 * 400
