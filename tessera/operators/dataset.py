@@ -26,6 +26,8 @@ from ..functions.scores import percent
 from ..session import cut_lineage
 
 ENTITY, PERIOD, TARGET = "cnpj", "ano_mes", "situacao_cadastral"
+#: Buckets up to which their table is broadcast.
+_FEW = 10_000
 
 
 def _range_bounds(df: DataFrame, key: str, n: int, per_bucket: int = 20, seed: int = 7) -> list:
@@ -51,9 +53,12 @@ def _with_range_bucket(df: DataFrame, key: str, n: int, out: str) -> DataFrame:
     below the key, found in two steps of about sqrt(n) comparisons each.  Bounds only
     affect balance; equal keys always share a bucket, so ordering stays exact.
     """
-    bounds = _range_bounds(df, key, n)
+    return df.withColumn(out, _bucket(df, key, _range_bounds(df, key, n)))
+
+
+def _bucket(df: DataFrame, key: str, bounds: list) -> Column:
     if not bounds:
-        return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.lit(1)))
+        return F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.lit(1))
     kind = df.schema[key].dataType
     width = max(1, int(len(bounds) ** 0.5))
     groups = [bounds[i:i + width] for i in range(0, len(bounds), width)]
@@ -66,7 +71,37 @@ def _with_range_bucket(df: DataFrame, key: str, n: int, out: str) -> DataFrame:
     whole = F.size(F.filter(heads, lambda b: b <= k))  # groups that begin at or below the key
     inner = F.size(F.filter(F.element_at(rows, F.greatest(whole, F.lit(1))), lambda b: b <= k))
     bucket = F.when(whole == 0, F.lit(1)).otherwise((whole - 1) * F.lit(width) + inner + 1)
-    return df.withColumn(out, F.when(k.isNull(), F.lit(0)).otherwise(bucket))
+    return F.when(k.isNull(), F.lit(0)).otherwise(bucket)
+
+
+def _by_runs(df: DataFrame, key: str, bounds: list, buckets: list) -> DataFrame:
+    """Add ``_whole``, the label of the row's range (NULL where a cut lies in it), and ``_b1``, the range's number if so.
+
+    ``buckets`` holds (number, label) of every range.  Ranges of one label follow each other, so a row is
+    compared with the few bounds where the label changes instead of all.
+    """
+    kind, k = df.schema[key].dataType, F.col(key)
+    runs: list[tuple] = []  # (last range, label, number if cut)
+    for b, label in sorted(buckets):
+        own = (label, b if label is None else None)
+        if runs and b > 1 and runs[-1][1:] == own:  # range 0 holds the NULL keys
+            runs.pop()
+        runs.append((b, *own))
+
+    def chosen(i: int, of: str) -> Column:
+        out = None
+        for n, run in enumerate(runs):
+            value = F.lit(run[i]).cast(of)
+            if run[0] == 0:
+                where = k.isNull()
+            elif n + 1 < len(runs):
+                where = k < F.lit(bounds[run[0] - 1]).cast(kind)
+            else:
+                where = F.lit(True)
+            out = F.when(where, value) if out is None else out.when(where, value)
+        return F.lit(None).cast(of) if out is None else out
+
+    return df.withColumns({"_whole": chosen(1, "string"), "_b1": chosen(2, "int")})
 
 
 def _label(idx: Column, cuts: list[Column], names: list[str]) -> Column:
@@ -115,8 +150,8 @@ def ordered_split(df: DataFrame, order: list[str], fractions=SPLIT_FRACTIONS,
     within a level-1 bucket.  Rows with NULL order columns are labelled like any other.
     """
     first = order[0]
-    keyed = (df.withColumn("_b1", F.col(first)) if level1 == "value"
-             else _with_range_bucket(df, first, buckets, "_b1"))
+    bounds = _range_bounds(df, first, buckets) if level1 == "range" else []
+    keyed = df.withColumn("_b1", F.col(first) if level1 == "value" else _bucket(df, first, bounds))
 
     sizes = keyed.groupBy(F.col("_b1").alias("_k1")).agg(F.count(F.lit(1)).alias("_n1"))
     # Over the bucket-size table only (one row per month or range):
@@ -132,11 +167,19 @@ def ordered_split(df: DataFrame, order: list[str], fractions=SPLIT_FRACTIONS,
     # A bucket is whole when its first and last position fall in the same part.
     whole_label = F.when(_label(lo, cuts, list(names)) == _label(hi, cuts, list(names)),
                          _label(lo, cuts, list(names)))
-    sizes = sizes.withColumn("_whole", whole_label)
-    keyed = keyed.join(sizes, F.col("_b1").eqNullSafe(F.col("_k1")))
+    # Written once, like the rows of cut buckets: every read of the result would count and find them again.
+    sizes = cut_lineage(sizes.withColumn("_whole", whole_label))
+    starts = sizes.where(F.col("_whole").isNull()).select("_k1", "_s1", "_n")  # one row per cut at most
+    if level1 == "range":
+        keyed = _by_runs(df, first, bounds, [(r["_k1"], r["_whole"]) for r in sizes.select("_k1", "_whole").collect()])
+    else:
+        labels = sizes.select("_k1", "_whole")
+        labels = F.broadcast(labels) if sizes.count() <= _FEW else labels
+        keyed = keyed.join(labels, F.col("_b1").eqNullSafe(F.col("_k1"))).drop("_k1")
 
     settled = keyed.where(F.col("_whole").isNotNull()).withColumn(split_col, F.col("_whole"))
-    cut_rows = keyed.where(F.col("_whole").isNull())
+    cut_rows = cut_lineage(keyed.where(F.col("_whole").isNull()).join(
+        F.broadcast(starts), F.col("_b1").eqNullSafe(F.col("_k1"))).drop("_k1"))
     cut_rows = _with_range_bucket(cut_rows, sub_key, sub_buckets, "_b2")
     sub = cut_rows.groupBy(F.col("_b1").alias("_j1"), F.col("_b2").alias("_j2")).agg(F.count(F.lit(1)).alias("_n2"))
     run2 = Window.partitionBy("_j1").orderBy("_j2").rowsBetween(Window.unboundedPreceding, -1)

@@ -64,3 +64,21 @@ def test_mapping_table_ranks_over_ranges(spark):
     df = spark.createDataFrame([(f"v{k % 40:02d}", str(k % 3)) for k in range(400)] + [(None, "0")], "a string, b string")
     got = {(r.column_name, r.value): r.code for r in dataset.mapping_table(df, ["a", "b"], groups=6).collect()}
     assert got == {**{("a", f"v{k:02d}"): k for k in range(40)}, **{("b", str(k)): k for k in range(3)}}
+
+
+@pytest.mark.parametrize("level", ["value", "range"])
+def test_split_reads_its_rows_few_times(spark, level):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = _frame(spark, [(e, m) for e in range(100) for m in range(20)])
+    order = ["ano_mes", "cnpj"] if level == "value" else ["cnpj", "ano_mes"]
+    split = dataset.ordered_split(df.mapInArrow(counted, df.schema), order, level1=level)
+    parts = {name: split.where(f"split = '{name}'").collect() for name in ("train", "val", "test")}
+    assert {name: len(rows) for name, rows in parts.items()} == {"train": 1400, "val": 400, "test": 200}
+    # bounds (counted, sampled), sizes, rows of cut buckets; then once for each part
+    assert seen.value <= 7 * 2000
