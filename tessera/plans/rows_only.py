@@ -398,12 +398,15 @@ def feature_importance(spark, sf):
 
 def score_month(spark, sf):
     """M4 + M5 + P5: save and reload the pipeline, score each entity's latest row <= a month."""
-    train, _ = _train_test(spark, sf)
-    model = md.fit(train, _small_forest())
+    feats = fe.feature_frame(panel(spark, sf))
+    wanted = existing(feats, MODEL_FEATURES)
+    full = cut_lineage(feats.select(*KEYS, "situacao_cadastral", *wanted))  # training rows and scored months come from it
+    split = ds.temporal_split(cut_lineage(drop_incomplete(full, wanted)))
+    model = md.fit(split.where(F.col("split") == "train"), _small_forest())
     path = _scratch(spark, "model")
     md.save(model, path)
     loaded = md.load(path)
-    return md.score_month(loaded, fe.feature_frame(panel(spark, sf)), fr.AS_OF)
+    return md.score_month(loaded, full, fr.AS_OF)
 
 
 def failure_model(spark, sf):
