@@ -31,6 +31,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -108,14 +109,15 @@ class _Merges:
                     return False
         return True
 
-    def _step(self, data: bytes, last: list[int], ends: dict[bytes, int]) -> tuple[int, int]:
-        """The token of ``ends`` that ends ``data`` and goes with what stands before it, and where it begins."""
-        token = ends.get(data)
-        if token is not None:  # these tokens are what their own bytes give
-            return token, 0
-        known, p = self._known, len(data)
+    def _step(self, data: bytes, p: int, last: list[int], ends: dict[bytes, int]) -> tuple[int, int]:
+        """The token of ``ends`` that ends ``data[:p]`` and goes with what stands before it, and where it begins."""
+        if p <= self.longest:
+            token = ends.get(data[:p])
+            if token is not None:  # these tokens are what their own bytes give
+                return token, 0
+        known = self._known
         for begin in range(p - 1, max(0, p - 1 - self.longest), -1):
-            token = ends.get(data[begin:])
+            token = ends.get(data[begin:p])
             if token is None:
                 continue
             pair = last[begin] << 20 | token
@@ -132,26 +134,28 @@ class _Merges:
         """Tokens of each prefix of ``word``, by code points; words that begin alike share the steps of their beginning."""
         data = word.encode("utf-8", "surrogatepass")
         states, last, count, out = self._states, [-1], [0], []
-        recent, inner, final, size = states.new, self.inner, self.final, len(data)
-        for p in range(1, size + 1):
+        recent, inner, final, size, step = states.new.get, self.inner, self.final, len(data), self._step
+        for p in range(1, min(size, SHARED_BYTES) + 1):
             prefix = data[:p]
-            state = None
-            if p <= SHARED_BYTES:
-                state = recent.get(prefix)
-                if state is None:
-                    state = states.get(prefix)
-                    recent = states.new
+            state = recent(prefix) or states.get(prefix)
             if state is None:
-                token, begin = self._step(prefix, last, inner)
+                token, begin = step(data, p, last, inner)
                 whole = p == size or data[p] & 0xC0 != 0x80  # not inside a code point
-                state = token, count[begin] + 1, count[self._step(prefix, last, final)[1]] + 1 if whole else 0
-                if p <= SHARED_BYTES:
-                    states.put(prefix, state)
-                    recent = states.new
-            last.append(state[0])
-            count.append(state[1])
-            if state[2]:
-                out.append(state[2])
+                state = token, count[begin] + 1, count[step(data, p, last, final)[1]] + 1 if whole else 0
+                states.put(prefix, state)
+                recent = states.new.get
+            token, n, ended = state
+            last.append(token)
+            count.append(n)
+            if ended:
+                out.append(ended)
+        for p in range(SHARED_BYTES + 1, size + 1):
+            if p < size:
+                token, begin = step(data, p, last, inner)
+                last.append(token)
+                count.append(count[begin] + 1)
+            if p == size or data[p] & 0xC0 != 0x80:
+                out.append(count[step(data, p, last, final)[1]] + 1)
         return out
 
 
@@ -203,34 +207,33 @@ class PrefixCounter:
         self._kinds: dict[str, int] = {}
 
     def _table(self, piece: str) -> bytes:
-        """Counts of a piece's prefixes as little-endian 32-bit integers; a space before it counts nothing."""
+        """Counts of a piece's prefixes as 32-bit integers; a space before it counts nothing."""
         body = piece.lstrip(" ")
-        if not body or _SPACES.match(body):
+        if not body or not body[0].isalnum() and _SPACES.match(body):
             own = []
         elif body in _CONTRACTIONS:  # cut, it is a mark and letters
             own = [1, *(1 + k for k in self.merges.counts(body[1:-1])), self.merges.counts(body)[-1]]
         else:
             own = self.merges.counts(body)
-        return np.array([0] * (len(piece) - len(own)) + own, dtype="<i4").tobytes()
+        return array("i", [0] * (len(piece) - len(own)) + own).tobytes()
 
     def _joined(self, pieces: list[str], sizes: np.ndarray) -> np.ndarray:
         tables = self._tables
         own = list(map(tables.new.get, pieces))
         if None in own:
-            for k, table in enumerate(own):
+            for k in [k for k, table in enumerate(own) if table is None]:
+                table = tables.get(pieces[k])
                 if table is None:
-                    table = tables.get(pieces[k])
-                    if table is None:
-                        tables.put(pieces[k], table := self._table(pieces[k]))
-                    own[k] = table
-        counts = np.frombuffer(b"".join(own), dtype="<i4").astype(np.int64)
+                    tables.put(pieces[k], table := self._table(pieces[k]))
+                own[k] = table
+        counts = np.frombuffer(b"".join(own), dtype=np.int32).astype(np.int64)
         ends = np.cumsum(sizes)
         each = counts[ends - 1]
         return counts + np.repeat(np.cumsum(each) - each, sizes)
 
-    def _plain(self, text: str, pattern) -> np.ndarray:
+    def _plain(self, text: str, lower: str, pattern) -> np.ndarray:
         """Counts of a text without special strings that is its own normal form but for capitals."""
-        pieces = pattern.findall(text.replace("Σ", "σ").lower())
+        pieces = pattern.findall(text.replace("Σ", "σ").lower() if "Σ" in text else lower)
         return self._joined(pieces, np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
 
     def _pieces(self, text: str) -> list[str]:
@@ -267,7 +270,7 @@ class PrefixCounter:
                 # a contraction may begin two pieces before
                 back = int(begins[max(0, int(np.searchsorted(begins, begin)) - 2)])
                 own = self._pieces(text_of[back:begin] + normal(unit[:k]))
-                more = sum(int(np.frombuffer(self._table(p), dtype="<i4")[-1]) for p in own)
+                more = sum(int(np.frombuffer(self._table(p), dtype=np.int32)[-1]) for p in own)
                 out.append(more + (int(counts[back - 1]) if back else 0))
             out.append(int(counts[end - 1]) if end else 0)
         return np.array(out, dtype=np.int64)
@@ -275,13 +278,14 @@ class PrefixCounter:
     def _ordinary(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype=np.int64)
-        signs = set(text.lower()) | set(text)
+        lower = text.lower()
+        signs = set(lower) | set(text)
         for c in signs - self._kinds.keys():
             self._kinds[c] = _kind(c)
         kind = max(map(self._kinds.__getitem__, signs))
         if kind == 2 or not unicodedata.is_normalized("NFC", text):
             return self._composed(text)
-        return self._plain(text, _PIECES if kind else _FAST_PIECES)
+        return self._plain(text, lower, _PIECES if kind else _FAST_PIECES)
 
     def counts(self, text: str) -> np.ndarray:
         """The number of tokens of each prefix of ``text``: entry k - 1 for its first k code points."""
