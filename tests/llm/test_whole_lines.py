@@ -2,7 +2,9 @@
 
 import random
 
-from tessera.llm import line_dedup, line_sims, queries, simhash
+import numpy as np
+
+from tessera.llm import edit, line_dedup, line_sims, queries, simhash
 
 from . import brute
 from .conftest import SCHEMA, row
@@ -84,3 +86,62 @@ def test_texts_of_one_id_are_judged_by_themselves(spark):
     docs = spark.createDataFrame([row(1, text), row(5, text), row(5, other), row(7, other)], SCHEMA)
     left = sorted((r["doc_id"], r["text"]) for r in simhash.one_of_each(docs).collect())
     assert left == [(1, text), (5, other)]
+
+
+def _brute_pairs(rows, bits):
+    """Lines of one family within ``bits`` that agree in two of eight blocks."""
+    out = set()
+    for k, (a, x) in enumerate(rows):
+        for b, y in rows[:k]:
+            differ = (x ^ y).to_bytes(8, "little")
+            if (x ^ y).bit_count() <= bits and differ.count(0) >= 2:
+                out.add((min(a, b), max(a, b)))
+    return out
+
+
+def test_a_line_travels_once_for_each_block_and_meets_the_same_lines(spark):
+    rng = random.Random(11)
+    bases = [rng.getrandbits(63) for _ in range(30)]
+    rows = []
+    for k in range(400):
+        sim = bases[k % 30]
+        for _ in range(rng.randrange(10)):
+            sim ^= 1 << rng.randrange(63)
+        rows.append((k, sim))
+    want = _brute_pairs(rows, 8)
+    lines = spark.createDataFrame([(k, 9000, None, s, None, k) for k, s in rows],
+                                  "hash long, size int, sim0 long, sim1 long, sim2 long, grp long")
+    for hot in (line_sims.HOT, 10, 1):  # whole cells, cells split by the second block, and parts of those
+        assert {tuple(r) for r in line_sims.near_pairs(lines, across=True, hot=hot).collect()} == want
+        first = {tuple(r) for r in line_sims.near_pairs(lines, hot=hot).collect()}
+        assert first <= want and {x for p in first for x in p} == {x for p in want for x in p}
+    sims = np.array([s for _, s in rows], dtype=np.uint64)
+    sent = sum(len(at) for _, at in line_sims._Cells(len(rows), False).of(1, sims))
+    assert sent == 7 * len(rows)
+
+
+def test_edit_distances_of_many_pairs_at_once():
+    rng = random.Random(3)
+    xs, ys = [], []
+    for _ in range(600):
+        letters = rng.choice(["ab", "abcdef", "abé日本語𝒳"])
+        x = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 130])))
+        y = list(x) if rng.random() < 0.6 else [rng.choice(letters) for _ in range(rng.choice([0, 2, 64, 128]))]
+        for _ in range(rng.randrange(6)):
+            k = rng.randrange(len(y) + 1)
+            y[k:k + rng.randrange(2)] = rng.choice(["", rng.choice(letters)])
+        xs.append(x)
+        ys.append("".join(y))
+
+    def plain(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            old, row = row, [i]
+            for j, d in enumerate(y, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (c != d)))
+        return row[-1]
+
+    want = [plain(x, y) for x, y in zip(xs, ys, strict=True)]
+    assert edit.distances(xs, ys).tolist() == want
+    alike = [d <= int(max(len(x), len(y)) * (1 - 0.8) + 1e-9) for d, x, y in zip(want, xs, ys, strict=True)]
+    assert edit.similar(xs, ys, 0.8).tolist() == alike
