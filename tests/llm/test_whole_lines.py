@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from tessera.llm import edit, line_dedup, line_sims, queries, simhash
+from tessera.llm import components, edit, line_dedup, line_sims, queries, simhash
 
 from . import brute
 from .conftest import SCHEMA, row
@@ -145,3 +145,12 @@ def test_edit_distances_of_many_pairs_at_once():
     assert edit.distances(xs, ys).tolist() == want
     alike = [d <= int(max(len(x), len(y)) * (1 - 0.8) + 1e-9) for d, x, y in zip(want, xs, ys, strict=True)]
     assert edit.similar(xs, ys, 0.8).tolist() == alike
+
+
+def test_links_contracted_by_one_task_need_no_round(spark, monkeypatch):
+    def no_round(*_):
+        raise AssertionError("a round was run")
+    monkeypatch.setattr(components, "_star", no_round)
+    edges = spark.createDataFrame([(1, 2), (2, 3), (7, 9), (3, 4), (9, 8), (5, 5)], "a long, b long").coalesce(1)
+    found = {tuple(r) for r in components.components(edges).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (4, 1), (7, 7), (8, 7), (9, 7)}
